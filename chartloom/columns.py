@@ -10,6 +10,20 @@ from pyspark.sql import types as T
 
 ColumnOrName = Column | str
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def row_type(**fields: str | T.DataType) -> T.StructType:
+    """A struct type from names and types; needs no session, unlike a DDL string."""
+    return T.StructType([T.StructField(n, _TYPES[t] if isinstance(t, str) else t) for n, t in fields.items()])
+
 
 def as_column(value: ColumnOrName) -> Column:
     return F.col(value) if isinstance(value, str) else value

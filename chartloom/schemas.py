@@ -4,19 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from chartloom.columns import row_type
 
-def _row(**fields: str | T.DataType) -> T.StructType:
-    return T.StructType(
-        [T.StructField(n, T.DataType.fromDDL(t) if isinstance(t, str) else t) for n, t in fields.items()]
-    )
-
-
-NAME_UUID = _row(name="string", uuid="string")
-UUID_DISPLAY = _row(uuid="string", display="string")
+NAME_UUID = row_type(name="string", uuid="string")
+UUID_DISPLAY = row_type(uuid="string", display="string")
 
 # -- documents --------------------------------------------------------------------------------
 
-VISIT = _row(
+VISIT = row_type(
     uuid="string",
     dateStarted="timestamp",
     dateStopped="timestamp",
@@ -25,10 +20,10 @@ VISIT = _row(
     display="string",
 )
 
-ENCOUNTER_PROVIDERS = T.ArrayType(_row(uuid="string", display="string", provider=UUID_DISPLAY))
+ENCOUNTER_PROVIDERS = T.ArrayType(row_type(uuid="string", display="string", provider=UUID_DISPLAY))
 
 ORDERS = T.ArrayType(
-    _row(
+    row_type(
         uuid="string",
         orderNumber="int",
         concept=UUID_DISPLAY,
@@ -42,30 +37,30 @@ ORDERS = T.ArrayType(
 )
 
 OBSERVATIONS = T.ArrayType(
-    _row(
+    row_type(
         uuid="string",
         obsDatetime="timestamp",
-        concept=_row(uuid="string", name=_row(display="string")),
-        value=_row(type="string", value="string"),
+        concept=row_type(uuid="string", name=row_type(display="string")),
+        value=row_type(type="string", value="string"),
         groupMembers="string",
     )
 )
 
 GROUP_MEMBERS = T.ArrayType(
-    _row(
+    row_type(
         uuid="string",
         obsDatetime="timestamp",
         concept=UUID_DISPLAY,
         display="string",
-        obsGroup=_row(display="string", uuid="string"),
-        value=_row(value="string", type="string"),
+        obsGroup=row_type(display="string", uuid="string"),
+        value=row_type(value="string", type="string"),
     )
 )
 
-PATIENT = _row(
+PATIENT = row_type(
     uuid="string",
     display="string",
-    person=_row(
+    person=row_type(
         uuid="string",
         display="string",
         gender="string",
@@ -76,19 +71,19 @@ PATIENT = _row(
         causeOfDeath="string",
         birthdateEstimated="boolean",
         attributes=T.ArrayType(
-            _row(
+            row_type(
                 display="string",
                 value="string",
                 uuid="string",
                 voided="boolean",
-                attributeType=_row(display="string", uuid="string"),
+                attributeType=row_type(display="string", uuid="string"),
             )
         ),
     ),
     identifiers=T.ArrayType(
-        _row(identifier="string", preferred="boolean", location=NAME_UUID, identifierType=NAME_UUID)
+        row_type(identifier="string", preferred="boolean", location=NAME_UUID, identifierType=NAME_UUID)
     ),
-    preferredAddress=_row(
+    preferredAddress=row_type(
         cityVillage="string",
         longitude="string",
         latitude="string",
@@ -101,7 +96,7 @@ PATIENT = _row(
 
 # -- change rows ------------------------------------------------------------------------------
 
-ENCOUNTER_CHANGE = _row(
+ENCOUNTER_CHANGE = row_type(
     encounter_id="int",
     encounter_type="int",
     patient_id="int",
@@ -120,7 +115,7 @@ ENCOUNTER_CHANGE = _row(
     uuid="string",
 )
 
-VITALS_CHANGE = _row(
+VITALS_CHANGE = row_type(
     person_id="int",
     uuid="string",
     encounter_id="int",
@@ -135,7 +130,7 @@ VITALS_CHANGE = _row(
     pulse="string",
 )
 
-PROGRAM_ENROLLMENT_CHANGE = _row(
+PROGRAM_ENROLLMENT_CHANGE = row_type(
     patient_program_id="int",
     patient_id="int",
     program_id="int",
@@ -146,9 +141,9 @@ PROGRAM_ENROLLMENT_CHANGE = _row(
 )
 
 # Keys of the rows whose documents are looked up again and not taken from the change row.
-ORDER_CHANGE = _row(order_id="int", patient_id="int", orderer="int", encounter_id="int", location_id="int")
-LAB_CHANGE = _row(person_id="int", encounter_id="int")
-PERSON_CHANGE = _row(person_id="int")
+ORDER_CHANGE = row_type(order_id="int", patient_id="int", orderer="int", encounter_id="int", location_id="int")
+LAB_CHANGE = row_type(person_id="int", encounter_id="int")
+PERSON_CHANGE = row_type(person_id="int")
 
 # Date columns of the HIV summary that arrive as epoch numbers.
 HIV_DATE_COLUMNS = """
@@ -182,7 +177,7 @@ HIV_INT_COLUMNS = """
 HIV_NUMBER_COLUMNS = "cd4_1 cd4_2 cd4_percent_1 cd4_percent_2 vl_1 vl_2".split()
 
 # Date columns are read as bigint, since some of them arrive in milliseconds.
-HIV_SUMMARY_CHANGE = _row(
+HIV_SUMMARY_CHANGE = row_type(
     **dict.fromkeys(HIV_TEXT_COLUMNS, "string"),
     **dict.fromkeys(HIV_INT_COLUMNS, "int"),
     **dict.fromkeys(HIV_DATE_COLUMNS, "bigint"),
@@ -192,4 +187,4 @@ HIV_SUMMARY_CHANGE = _row(
 
 def change_envelope(after: T.StructType) -> T.StructType:
     """Envelope of a change event; ``after`` is NULL for a delete."""
-    return _row(schema=_row(name="string"), payload=_row(after=after, op="string", ts_ms="bigint"))
+    return row_type(schema=row_type(name="string"), payload=row_type(after=after, op="string", ts_ms="bigint"))

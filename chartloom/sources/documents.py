@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartloom.columns import row_type
 from chartloom.sources.keyed import KeyedTable
 
 DB = "db"
-MANIFEST = T.StructType.fromDDL("_id string, _rev string, person_id bigint, build_date timestamp")
+MANIFEST = row_type(_id="string", _rev="string", person_id="bigint", build_date="timestamp")
 
 
 def document_store(spark: SparkSession, root: str, schema: T.StructType = MANIFEST) -> KeyedTable:

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.columns import as_list
+from chartloom.columns import as_list, row_type
 from chartloom.operators.relational import broadcast_if_small, missing_from
 
 BATCH = "batch"
 DELETED = "_deleted"
 
-_COMMIT = T.StructType.fromDDL("batch_id bigint, base boolean, writer string, writer_batch bigint")
+_COMMIT = row_type(batch_id="bigint", base="boolean", writer="string", writer_batch="bigint")
 
 
 class KeyedTable:

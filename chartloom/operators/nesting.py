@@ -94,9 +94,13 @@ def _collected(nested: Nested) -> Column:
     return F.transform(F.sort_array(collect(nested.entry())), lambda x: x["e"]).alias(nested.name)
 
 
+def _crowded(df: DataFrame, keys: list[str], part_rows: int) -> DataFrame:
+    return df.groupBy(*keys).count().where(F.col("count") > part_rows).select(*keys)
+
+
 def _large_keys(df: DataFrame, keys: list[str], arrays: Sequence[Nested], part_rows: int) -> DataFrame | None:
     """Keys with an array of more than ``part_rows`` elements, or None where there are none."""
-    rows = df.groupBy(*keys).count().where(F.col("count") > part_rows).select(*keys)
+    rows = _crowded(df, keys, part_rows)
     if is_empty(rows):
         return None
     if not all(a.distinct for a in arrays):
@@ -163,12 +167,14 @@ def nest(
     firsts: dict[str, ColumnOrName] | None = None,
     order_by: Sequence[ColumnOrName] = (),
     part_rows: int = PART_ROWS,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key with its nested arrays and the columns ``firsts`` of its first row.
 
     The result has a column ``part``: 0 for the main row; groups above ``part_rows`` elements
     have their arrays in the parts 1, 2, … instead. Whether there are any is asked of the key columns
-    before the plan is made, so that the usual plan stays a single aggregation.
+    before the plan is made, so that the usual plan stays a single aggregation. ``at_most`` is a
+    frame with no fewer rows per key that is cheaper to ask, such as the table before its joins.
     """
     names = as_list(keys)
     first_cols = [pick_first(firsts, order_by).alias("__first")] if firsts else []
@@ -182,6 +188,8 @@ def nest(
             .select(*names, *head_cols, *array_names, F.lit(0).alias("part"))
         )
 
+    if at_most is not None and is_empty(_crowded(at_most, names, part_rows)):
+        return whole(df)
     large = _large_keys(df, names, arrays, part_rows)
     if large is None:
         return whole(df)
@@ -214,10 +222,11 @@ def nest_set(
     name: str = "items",
     when: Column | None = None,
     part_rows: int = PART_ROWS,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
     """Sorted array of the distinct elements of every key; rows failing ``when`` add none."""
     element = fields if isinstance(fields, Column) else fields_struct(fields)
-    return nest(df, keys, [Nested(name, element, when=when)], part_rows=part_rows)
+    return nest(df, keys, [Nested(name, element, when=when)], part_rows=part_rows, at_most=at_most)
 
 
 def nest_list(
@@ -228,8 +237,9 @@ def nest_list(
     name: str = "items",
     when: Column | None = None,
     part_rows: int = PART_ROWS,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
     """Array of all elements of every key in the given order, copies included."""
     element = fields if isinstance(fields, Column) else fields_struct(fields)
     array = Nested(name, element, when=when, distinct=False, order_by=tuple(order_by))
-    return nest(df, keys, [array], part_rows=part_rows)
+    return nest(df, keys, [array], part_rows=part_rows, at_most=at_most)

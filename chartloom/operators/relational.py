@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +80,17 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (total or 0) <= max_bytes
 
 
+class Dimension(NamedTuple):
+    """A frame to look values up in, and whether it was measured to be small."""
+
+    rows: DataFrame
+    small: bool
+
+
+def measured(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Dimension:
+    return Dimension(df, fits_broadcast(df, max_bytes))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a frame for broadcast after measuring it; a larger one is left to a shuffled join."""
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
@@ -94,21 +106,21 @@ def _pairs(on: str | Sequence) -> list[tuple[str, str]]:
 
 def lookup(
     df: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | Dimension,
     on: str | Sequence,
     how: str = "inner",
     prefix: str = "",
-    small: bool = False,
     spread_nulls: bool = False,
 ) -> DataFrame:
     """Attach the columns of ``dim`` by equal keys.
 
     ``on`` is a column name, a list of names, or a list of ``(left, right)`` pairs. The key
     columns of ``dim`` are not kept; its other columns get ``prefix``, so that one dictionary can
-    be joined in several roles. Spark broadcasts a ``dim`` whose files are small by itself; for a
-    derived one pass ``small=fits_broadcast(dim)``. ``spread_nulls`` keeps left rows without a key, often most of
+    be joined in several roles. Spark broadcasts a ``dim`` whose files are small by itself; a
+    derived one is passed as ``measured(dim)``. ``spread_nulls`` keeps left rows without a key, often most of
     them, from meeting in one task when the dictionary is too large to broadcast.
     """
+    dim, small = dim if isinstance(dim, Dimension) else (dim, False)
     pairs = _pairs(on)
     rights = {r for _, r in pairs}
     renamed = dim.select(

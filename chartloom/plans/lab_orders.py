@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.text import doc_key
 from chartloom.operators.nesting import PART_ROWS, nest_set
-from chartloom.operators.relational import ensure_build_date, fits_broadcast, lookup, not_voided, tag
+from chartloom.operators.relational import ensure_build_date, lookup, measured, not_voided, rename_map, tag
 from chartloom.plans import dimensions as dim
 
 
@@ -23,10 +23,7 @@ def lab_order_documents(
         *"order_id order_type_id uuid date_activated patient_id encounter_id orderer concept_id".split(),
         F.col("order_number").alias("ordernumber"),
     )
-    codes = dim.concepts(tables).select(
-        "concept_id", F.col("concept_uuid").alias("conceptuuid"), F.col("concept_name").alias("display")
-    )
-    people = dim.providers(tables).drop("person_id", "provider_identifier")
+    codes, people = measured(dim.concepts(tables)), dim.providers_by_id(tables)
     places = dim.locations(tables).withColumnRenamed("location_uuid", "locationuuid")
     identifiers = nest_set(
         dim.identifiers(tables), "patient_id", F.col("identifier"), "identifiers", part_rows=part_rows
@@ -34,10 +31,10 @@ def lab_order_documents(
     persons = dim.persons(tables).withColumn("patient_id", F.col("person_id"))
     names = dim.person_names(tables).withColumnRenamed("person_id", "patient_id")
 
-    rows = lookup(orders, codes, "concept_id", "left", small=fits_broadcast(codes))
-    orderer = [("orderer", "provider_id")]
-    rows = lookup(rows, people, orderer, "left", small=fits_broadcast(people), spread_nulls=True)
-    rows = lookup(rows, dim.order_samples(tables), "order_id", "left")
+    rows = lookup(orders, codes, "concept_id", "left")
+    rows = rename_map(rows, {"concept_uuid": "conceptuuid", "concept_name": "display", "concept_id": "order_type"})
+    rows = lookup(rows, people, [("orderer", "provider_id")], "left", spread_nulls=True).drop("provider_identifier")
+    rows = lookup(rows, dim.order_samples(tables, codes), "order_id", "left")
     placed = tables["encounter"].select("encounter_id", "location_id")
     rows = lookup(rows, placed, "encounter_id", "left", spread_nulls=True)
     rows = lookup(rows, places, "location_id", "left")
@@ -50,6 +47,6 @@ def lab_order_documents(
             "patient_uuid": F.col("person_uuid"),
             "doc_id": doc_key("lab_orders", "patient_id", "encounter_id", "uuid"),
         }
-    ).withColumnRenamed("concept_id", "order_type")
+    )
     # The order key stays in staging, where it finds the documents a change touches.
     return ensure_build_date(tag(docs.drop("orderer", "order_type_id"), "lab_orders"), built_at)

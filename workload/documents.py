@@ -416,5 +416,5 @@ def program_doc(spark: SparkSession, sf: str) -> DataFrame:
 )
 def lab_order_doc(spark: SparkSession, sf: str) -> DataFrame:
     tables = clinical(spark, sf)
-    docs = lab_order_documents({**tables, "orders": tables["lab_orders"]}, built_at())
+    docs = lab_order_documents(tables.replaced(orders=tables["lab_orders"]), built_at())
     return docs.withColumn("identifiers", F.array_join("identifiers", ";"))

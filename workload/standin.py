@@ -7,6 +7,9 @@ groups, events are vitals, summaries and labs. ``SQL`` states the same mapping f
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache, partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +30,29 @@ def uuid(kind: str, *columns: str) -> Column:
     return F.concat_ws("-", F.lit(kind), *[F.col(c).cast("string") for c in columns])
 
 
-def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class LazyTables(Mapping):
+    """Tables by name, each made when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self.makers = {name: cache(make) for name, make in makers.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.makers)
+
+    def __len__(self) -> int:
+        return len(self.makers)
+
+    def replaced(self, **others: DataFrame) -> LazyTables:
+        return LazyTables({**self.makers, **{name: lambda df=df: df for name, df in others.items()}})
+
+
+def clinical(spark: SparkSession, sf_dir: str) -> LazyTables:
     """Source tables by name."""
 
+    @cache
     def t(name: str) -> DataFrame:
         return load(spark, sf_dir, name)
 
@@ -37,13 +60,11 @@ def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customer, supplier, lineitem, orders = t("customer"), t("supplier"), t("lineitem"), t("orders")
     placed = orders.join(customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
 
-    region = t("region")
-    dictionary = {
-        name: region.select(
+    def dictionary(name: str) -> DataFrame:
+        return t("region").select(
             F.col("r_regionkey").alias(f"{name}_id"), uuid(name, "r_regionkey").alias("uuid"), F.col("r_name").alias("name")
         )
-        for name in ("form", "encounter_type", "visit_type", "order_type")
-    }
+
     people = customer.select(
         F.col("c_custkey").alias("person_id"),
         F.col("c_mktsegment").alias("given_name"),
@@ -95,41 +116,41 @@ def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         uuid("turn", "conv_id", "turn").alias("uuid"),
         F.when(F.col("turn") < 7, F.lit(False)).alias("voided"),
     )
-    return {
-        **dictionary,
-        "location": t("nation").select(
+    return LazyTables({
+        **{name: partial(dictionary, name) for name in ("form", "encounter_type", "visit_type", "order_type")},
+        "location": lambda: t("nation").select(
             F.col("n_nationkey").alias("location_id"),
             uuid("place", "n_nationkey").alias("uuid"),
             F.col("n_name").alias("name"),
         ),
-        "program": region.select(
+        "program": lambda: t("region").select(
             F.col("r_name").alias("name"), uuid("program", "r_regionkey").alias("uuid"), F.col("r_regionkey").alias("concept_id")
         ),
-        "concept": t("part").select(
+        "concept": lambda: t("part").select(
             F.col("p_partkey").alias("concept_id"),
             uuid("concept", "p_partkey").alias("uuid"),
             (F.col("p_size") > 40).alias("retired"),
         ),
-        "concept_name": t("part").select(
+        "concept_name": lambda: t("part").select(
             F.col("p_partkey").alias("concept_id"),
             F.col("p_name").alias("name"),
             (F.col("p_brand") != "Brand#3").alias("locale_preferred"),
         ),
-        "drug": supplier.select(F.col("s_suppkey").alias("drug_id"), F.col("s_name").alias("name")),
-        "person": customer.select(F.col("c_custkey").alias("person_id"), uuid("person", "c_custkey").alias("uuid")),
-        "patient": customer.where("c_acctbal > -500").select(F.col("c_custkey").alias("patient_id")),
-        "person_name": people,
-        "provider": supplier.select(
+        "drug": lambda: supplier.select(F.col("s_suppkey").alias("drug_id"), F.col("s_name").alias("name")),
+        "person": lambda: customer.select(F.col("c_custkey").alias("person_id"), uuid("person", "c_custkey").alias("uuid")),
+        "patient": lambda: customer.where("c_acctbal > -500").select(F.col("c_custkey").alias("patient_id")),
+        "person_name": lambda: people,
+        "provider": lambda: supplier.select(
             F.col("s_suppkey").alias("provider_id"),
             (-F.col("s_suppkey") - 1).alias("person_id"),
             uuid("provider", "s_suppkey").alias("uuid"),
             uuid("P", "s_nationkey").alias("identifier"),
         ),
-        "patient_identifier": customer.select(
+        "patient_identifier": lambda: customer.select(
             F.col("c_custkey").alias("patient_id"),
             F.explode(F.array(uuid("mrn", "c_custkey"), uuid("nat", "c_nationkey"))).alias("identifier"),
         ),
-        "encounter": placed.select(
+        "encounter": lambda: placed.select(
             F.col("o_orderkey").alias("encounter_id"),
             F.col("o_custkey").alias("patient_id"),
             priority.alias("form_id"),
@@ -140,7 +161,7 @@ def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             uuid("enc", "o_orderkey").alias("uuid"),
             F.when(F.col("o_totalprice") < 450000, F.col("o_totalprice") < 20000).alias("voided"),
         ),
-        "visit": placed.where("NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')").select(
+        "visit": lambda: placed.where("NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')").select(
             F.col("o_orderkey").alias("visit_id"),
             priority.alias("visit_type_id"),
             F.col("c_nationkey").alias("location_id"),
@@ -148,12 +169,12 @@ def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.col("o_orderdate").alias("date_started"),
             F.lit(None).cast("timestamp_ntz").alias("date_stopped"),
         ),
-        "encounter_provider": lineitem.select(
+        "encounter_provider": lambda: lineitem.select(
             F.col("l_orderkey").alias("encounter_id"),
             F.col("l_suppkey").alias("provider_id"),
             uuid("ep", "l_orderkey", "l_suppkey").alias("uuid"),
         ),
-        "orders": lineitem.select(
+        "orders": lambda: lineitem.select(
             line.alias("uuid"),
             F.col("l_orderkey").alias("encounter_id"),
             F.col("l_partkey").alias("concept_id"),
@@ -166,7 +187,7 @@ def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.col("l_linenumber").cast("string").alias("order_number"),
             (F.col("l_returnflag") == "A").alias("voided"),
         ),
-        "lab_orders": placed.select(
+        "lab_orders": lambda: placed.select(
             F.col("o_orderkey").alias("order_id"),
             uuid("order", "o_orderkey").alias("uuid"),
             F.col("o_orderkey").alias("encounter_id"),
@@ -178,8 +199,8 @@ def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.col("o_orderpriority").alias("order_number"),
             F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "F").alias("voided"),
         ),
-        "obs": measured.unionByName(spoken),
-    }
+        "obs": lambda: measured.unionByName(spoken),
+    })
 
 
 # The same mapping, as common table expressions that follow WITH.

@@ -7,8 +7,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chartloom.columns import ColumnOrName, as_column, as_list, is_atomic, row_bytes
+from chartloom.columns import as_list, is_atomic, row_bytes
 
 # A frame is broadcast only when a count of its bytes stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -53,22 +54,24 @@ def fill_strings(df: DataFrame) -> DataFrame:
 # -- filters ----------------------------------------------------------------------------------
 
 
-def _flag_is_off(column: ColumnOrName, null_is_live: bool) -> Column:
-    flag = as_column(column).cast("boolean")
-    return F.coalesce(~flag, F.lit(True)) if null_is_live else ~flag
+def _is_flag(df: DataFrame, column: str, value: bool) -> Column:
+    """Comparison with a boolean or 0/1 flag, in the form a scan can evaluate."""
+    boolean = isinstance(df.schema[column].dataType, T.BooleanType)
+    return F.col(column) == F.lit(value if boolean else int(value))
 
 
 def not_voided(df: DataFrame, column: str = "voided", null_is_live: bool = True) -> DataFrame:
     """Rows whose flag is off; a missing flag counts as off unless told otherwise."""
-    return df.where(_flag_is_off(column, null_is_live))
+    off = _is_flag(df, column, False)
+    return df.where(F.col(column).isNull() | off if null_is_live else off)
 
 
 def not_retired(df: DataFrame, column: str = "retired", null_is_live: bool = True) -> DataFrame:
-    return df.where(_flag_is_off(column, null_is_live))
+    return not_voided(df, column, null_is_live)
 
 
 def preferred(df: DataFrame, column: str = "preferred") -> DataFrame:
-    return df.where(F.col(column).cast("boolean"))
+    return df.where(_is_flag(df, column, True))
 
 
 # -- size check -------------------------------------------------------------------------------

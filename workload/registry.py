@@ -12,13 +12,14 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under the name of its function."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under a name, by default that of its function."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        QUERIES[key] = fn
         if sql is not None:
-            ORACLE[fn.__name__] = sql
+            ORACLE[key] = sql
         return fn
 
     return register

@@ -77,7 +77,8 @@ def scan_by_many_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"""
+    """SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
+    name="filter_in",
 )
 def filter_in_list(spark: SparkSession, sf: str) -> DataFrame:
     orders = load(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
@@ -123,14 +124,15 @@ def epoch_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, o_orderstatus <> 'O' AS voided FROM orders"""
+    """SELECT o_orderkey, o_orderstatus <> 'O' AS voided FROM orders""",
+    name="flag_to_bool",
 )
 def flag_to_boolean(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.when(F.col("o_orderstatus") == "O", F.lit(0)).when(F.col("o_orderstatus") == "F", F.lit(1))
     return load(spark, sf, "orders").select("o_orderkey", flag_to_bool(flag).alias("voided"))
 
 
-@query("""SELECT o_orderkey, 2020 - year(o_orderdate) AS age FROM orders""")
+@query("""SELECT o_orderkey, 2020 - year(o_orderdate) AS age FROM orders""", name="age_years")
 def age_in_years(spark: SparkSession, sf: str) -> DataFrame:
     age = age_years("o_orderdate", F.to_date(F.lit("2020-03-01"))).cast("bigint")
     return load(spark, sf, "orders").select("o_orderkey", age.alias("age"))
@@ -138,7 +140,8 @@ def age_in_years(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """SELECT o_orderkey, concat_ws('_', 'labs', o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END) AS doc_id
-       FROM orders"""
+       FROM orders""",
+    name="doc_key",
 )
 def document_key(spark: SparkSession, sf: str) -> DataFrame:
     part = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
@@ -245,7 +248,8 @@ def names_sql(codes: str) -> str:
 
 @query(
     f"""WITH coded AS (SELECT {CODES_SQL} AS codes FROM lineitem)
-        SELECT codes, {names_sql("codes")} AS names, count(*) AS n FROM coded GROUP BY 1, 2"""
+        SELECT codes, {names_sql("codes")} AS names, count(*) AS n FROM coded GROUP BY 1, 2""",
+    name="drug_names",
 )
 def drug_names_of_lists(spark: SparkSession, sf: str) -> DataFrame:
     number = F.col("l_linenumber")

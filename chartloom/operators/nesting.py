@@ -188,8 +188,11 @@ def nest(
             .select(*names, *head_cols, *array_names, F.lit(0).alias("part"))
         )
 
-    if at_most is not None and is_empty(_crowded(at_most, names, part_rows)):
-        return whole(df)
+    bound = df if at_most is None else at_most
+    if is_empty(_crowded(bound, names, part_rows)):
+        # Groups are small, and scattered over the input: arrays begun before the shuffle would
+        # mostly hold one element, so rows are moved as they are.
+        return whole(df.repartition(*names))
     large = _large_keys(df, names, arrays, part_rows)
     if large is None:
         return whole(df)

@@ -31,4 +31,4 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def rows(spark):
     """Frame from a DDL schema and tuples."""
-    return lambda schema, *data: spark.createDataFrame(list(data), schema)
+    return lambda schema, *data: spark.createDataFrame(list(data), schema).coalesce(1)

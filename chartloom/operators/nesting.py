@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.columns import ColumnOrName, as_column, as_list, fields_struct
-from chartloom.operators.relational import broadcast_if_small
+from chartloom.session import written
 
 PART_ROWS = 10_000
 
@@ -98,62 +98,72 @@ def _crowded(df: DataFrame, keys: list[str], part_rows: int) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > part_rows).select(*keys)
 
 
-def _large_keys(df: DataFrame, keys: list[str], arrays: Sequence[Nested], part_rows: int) -> DataFrame | None:
-    """Keys with an array of more than ``part_rows`` elements, or None where there are none."""
-    rows = _crowded(df, keys, part_rows)
-    if is_empty(rows):
-        return None
-    if not all(a.distinct for a in arrays):
-        return rows
-    # Many rows need not mean many distinct elements.
-    candidates = _with_keys(df, broadcast_if_small(rows), keys, "left_semi")
-    sizes = [
-        _counted(candidates, keys, a).groupBy(*keys).count().where(F.col("count") > part_rows) for a in arrays
-    ]
-    large = reduce(DataFrame.unionByName, sizes).select(*keys).distinct()
-    return None if is_empty(large) else large
-
-
-def _counted(df: DataFrame, keys: list[str], nested: Nested) -> DataFrame:
-    """Distinct array entries of every key and how often each occurs."""
-    entries = df.select(*keys, nested.entry().alias("__entry")).where(F.col("__entry").isNotNull())
-    return entries.groupBy(*keys, "__entry").agg(F.count(F.lit(1)).alias("__copies"))
-
-
-def _null_safe(keys: list[str], left: str, right: str) -> Column:
+def _same_keys(keys: list[str], left: str, right: str) -> Column:
+    """Equality of all keys, NULL being a key like any other."""
     return reduce(
         lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
     )
 
 
 def _with_keys(df: DataFrame, key_rows: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Semi, anti or left join on all keys, NULL being a key like any other."""
-    joined = df.alias("l").join(key_rows.alias("r"), _null_safe(keys, "l", "r"), how)
+    """Semi, anti or left join on all keys."""
+    joined = df.alias("l").join(key_rows.alias("r"), _same_keys(keys, "l", "r"), how)
     if how in ("left_semi", "left_anti"):
         return joined
     extra = [F.col(f"r.{c}") for c in key_rows.columns if c not in keys]
     return joined.select("l.*", *extra)
 
 
-def _array_parts(df: DataFrame, keys: list[str], nested: Nested, part_rows: int) -> DataFrame:
+def _counted(df: DataFrame, keys: list[str], nested: Nested) -> DataFrame:
+    """Distinct array entries of every key and how often each is kept; copies are counted before they move."""
+    entries = df.select(*keys, nested.entry().alias("__entry")).where(F.col("__entry").isNotNull())
+    if nested.distinct:
+        return entries.distinct().withColumn("__copies", F.lit(1).cast("bigint"))
+    return entries.groupBy(*keys, "__entry").agg(F.count(F.lit(1)).alias("__copies"))
+
+
+def _large_arrays(
+    df: DataFrame, keys: list[str], arrays: Sequence[Nested], part_rows: int
+) -> DataFrame | None:
+    """Keys, array numbers and sizes of the arrays above ``part_rows`` elements; None without any.
+
+    Many rows need not make a large array: copies may collapse, elements may be left out. The
+    keys and sizes are written down, since several joins use them.
+    """
+    crowded = written(_crowded(df, keys, part_rows), "crowded-keys")
+    if is_empty(crowded):
+        return None
+    rows = _with_keys(df, crowded, keys, "left_semi")
+    sizes = [
+        _counted(rows, keys, a)
+        .groupBy(*keys)
+        .agg(F.sum("__copies").alias("__size"))
+        .withColumn("__array", F.lit(i))
+        for i, a in enumerate(arrays)
+    ]
+    large = written(reduce(DataFrame.unionByName, sizes).where(F.col("__size") > part_rows), "array-sizes")
+    return None if is_empty(large) else large
+
+
+def _array_parts(
+    df: DataFrame, keys: list[str], nested: Nested, sizes: DataFrame, part_rows: int
+) -> DataFrame:
     """One array of large groups in parts of about ``part_rows`` elements.
 
-    Copies are counted before they move, then every distinct element goes to the part its hash
-    names; a pile of copies is dealt out over consecutive parts.
+    Every distinct element goes to the part its hash names; a pile of copies of one element is
+    dealt out over consecutive parts.
     """
-    counted = _counted(df, keys, nested)
-    if nested.distinct:
-        counted = counted.withColumn("__copies", F.lit(1).cast("bigint"))
-    piles = counted.withColumn(
-        "__pile", F.explode(F.sequence(F.lit(0), F.expr(f"int((__copies - 1) div {part_rows})")))
-    ).withColumn(
-        "__copies", F.least(F.col("__copies") - F.col("__pile") * part_rows, F.lit(part_rows)).cast("int")
-    )
-    sizes = counted.groupBy(*keys).agg(
-        F.expr(f"(sum(__copies) + {part_rows - 1}) div {part_rows}").alias("__parts")
+    piles = (
+        _counted(df, keys, nested)
+        .withColumn("__pile", F.explode(F.sequence(F.lit(0), F.expr(f"int((__copies - 1) div {part_rows})"))))
+        .withColumn(
+            "__copies",
+            F.least(F.col("__copies") - F.col("__pile") * part_rows, F.lit(part_rows)).cast("int"),
+        )
     )
-    placed = _with_keys(piles, broadcast_if_small(sizes), keys, "left").withColumn(
-        "__slot", F.pmod(F.xxhash64("__entry") + F.col("__pile"), F.col("__parts"))
+    parts = F.coalesce(F.expr(f"(__size + {part_rows - 1}) div {part_rows}"), F.lit(1))
+    placed = _with_keys(piles, sizes, keys, "left").withColumn(
+        "__slot", F.pmod(F.xxhash64("__entry") + F.col("__pile"), parts)
     )
     piece = F.sort_array(F.collect_list(F.struct("__entry", "__copies")))
     flat = F.flatten(F.transform(piece, lambda x: F.array_repeat(x["__entry"]["e"], x["__copies"])))
@@ -171,10 +181,11 @@ def nest(
 ) -> DataFrame:
     """One row per key with its nested arrays and the columns ``firsts`` of its first row.
 
-    The result has a column ``part``: 0 for the main row; groups above ``part_rows`` elements
-    have their arrays in the parts 1, 2, … instead. Whether there are any is asked of the key columns
-    before the plan is made, so that the usual plan stays a single aggregation. ``at_most`` is a
-    frame with no fewer rows per key that is cheaper to ask, such as the table before its joins.
+    The result has a column ``part``: 0 for the main row; groups with an array above ``part_rows``
+    elements have their arrays in the parts 1, 2, … instead. Whether there are any is asked of the
+    key columns before the plan is made, so that the usual plan stays a single aggregation.
+    ``at_most`` is a frame with no fewer rows per key that is cheaper to ask, such as the table
+    before its joins.
     """
     names = as_list(keys)
     first_cols = [pick_first(firsts, order_by).alias("__first")] if firsts else []
@@ -188,16 +199,15 @@ def nest(
             .select(*names, *head_cols, *array_names, F.lit(0).alias("part"))
         )
 
-    bound = df if at_most is None else at_most
-    if is_empty(_crowded(bound, names, part_rows)):
+    if is_empty(_crowded(df if at_most is None else at_most, names, part_rows)):
         # Groups are small, and scattered over the input: arrays begun before the shuffle would
         # mostly hold one element, so rows are moved as they are.
         return whole(df.repartition(*names))
-    large = _large_keys(df, names, arrays, part_rows)
-    if large is None:
+    sizes = _large_arrays(df, names, arrays, part_rows)
+    if sizes is None:
         return whole(df)
 
-    large = broadcast_if_small(large)
+    large = sizes.select(*names).distinct()
     usual = whole(_with_keys(df, large, names, "left_anti"))
     rows = _with_keys(df, large, names, "left_semi")
     types = {f.name: f.dataType for f in usual.schema.fields}
@@ -206,14 +216,17 @@ def nest(
         missing = {a: F.array().cast(types[a]) for a in array_names if a != filled}
         return frame.withColumns(missing) if missing else frame
 
-    heads = rows.groupBy(*names).agg(*(first_cols or [F.count(F.lit(1)).alias("__rows")]))
-    heads = heads.select(*names, *head_cols)
+    if firsts:
+        heads = written(rows.groupBy(*names).agg(*first_cols).select(*names, *head_cols), "group-heads")
+    else:
+        heads = large
     result = usual.unionByName(with_empty(heads, None).withColumn("part", F.lit(0)))
     for i, a in enumerate(arrays):
         number = (F.col("__slot") * len(arrays) + (i + 1)).cast("int")
-        pieces = _array_parts(rows, names, a, part_rows).withColumn("part", number).drop("__slot")
+        of_array = sizes.where(F.col("__array") == i).drop("__array")
+        pieces = _array_parts(rows, names, a, of_array, part_rows).withColumn("part", number).drop("__slot")
         if firsts:
-            pieces = _with_keys(pieces, broadcast_if_small(heads), names, "left")
+            pieces = _with_keys(pieces, heads, names, "left")
         result = result.unionByName(with_empty(pieces, a.name))
     return result
 

@@ -38,8 +38,10 @@ def lab_order_documents(
     placed = tables["encounter"].select("encounter_id", "location_id")
     rows = lookup(rows, placed, "encounter_id", "left", spread_nulls=True)
     rows = lookup(rows, places, "location_id", "left")
-    rows = rows.join(persons, "patient_id", "left").join(names, "patient_id", "left")
-    rows = rows.join(identifiers, "patient_id", "left")
+    # One join by patient, so that a patient with very many orders is skewed in one place only and
+    # can be split there.
+    known = persons.join(names, "patient_id", "full").join(identifiers, "patient_id", "full")
+    rows = rows.join(known, "patient_id", "left")
     docs = rows.withColumns(
         {
             "identifiers": F.coalesce("identifiers", F.array().cast("array<string>")),

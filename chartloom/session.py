@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are planned for. They are offered to whoever builds the session;
 # the library itself never changes a running session.
@@ -40,3 +40,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="chartloom-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the work folder: computed once, and of a size Spark knows.
+
+    Spark then broadcasts it in joins if its files are small, and only then.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from chartloom.operators.relational import ensure_build_date, restrict_to, rows_of_entities_seen_at
 from chartloom.operators.sync import classify, cohorts, leavers, stale_parts, tombstones
+from chartloom.plans import dimensions as dim
+from chartloom.plans.encounters import encounter_documents
+from chartloom.plans.lab_orders import lab_order_documents
+from chartloom.plans.observations import obs_documents
+from chartloom.plans.patients import patient_documents
+from chartloom.plans.summaries import (
+    hiv_summary_documents,
+    labs_documents,
+    program_documents,
+    vitals_documents,
+)
 from chartloom.plans.target import to_target
+from chartloom.session import written
 from chartloom.sources.documents import DB, read_manifest, write_documents
 from chartloom.sources.staging import read_staging, replace_staging
 
@@ -21,6 +33,34 @@ def location_db(location: str = "location_id") -> Column:
     return F.concat(F.lit("location-"), F.col(location).cast("string"))
 
 
+def document_jobs(
+    tables: dim.Tables, as_of: Column, built_at: Column | None = None
+) -> dict[str, Callable[[], DataFrame]]:
+    """The staging tables and how each is built; nothing is built before its turn.
+
+    Of vitals and HIV summaries all rows are staged; a target takes the latest ones.
+    """
+
+    def encounters() -> DataFrame:
+        obs = obs_documents(tables["obs"], dim.concepts(tables), dim.drugs(tables))
+        return encounter_documents(tables, obs, built_at)
+
+    def labs() -> DataFrame:
+        return labs_documents(
+            tables["flat_labs_and_imaging"], tables["encounter"], tables["flat_hiv_summary"], built_at=built_at
+        )
+
+    return {
+        "patient": lambda: patient_documents(tables["patient_view"], as_of, built_at),
+        "vitals": lambda: vitals_documents(tables["flat_vitals"], built_at),
+        "hiv_summary": lambda: hiv_summary_documents(tables["flat_hiv_summary"], built_at),
+        "program_enrollment": lambda: program_documents(tables["program_enrollment_view"], built_at),
+        "encounter": encounters,
+        "lab_orders": lambda: lab_order_documents(tables, built_at),
+        "labs": labs,
+    }
+
+
 def rebuild_all(
     jobs: Mapping[str, Callable[[], DataFrame]], root: str, built_at: Column | None = None
 ) -> None:
@@ -35,7 +75,7 @@ def initial_load(table: str, staged: DataFrame, members: DataFrame, location_id:
     Patients of the cohort; of other tables everything about those cohort patients who have at
     least one row at the location.
     """
-    docs = restrict_to(staged, members, "person_id")
+    docs = restrict_to(staged, members, "person_id", measure=True)
     if table != PATIENT_TABLE:
         docs = rows_of_entities_seen_at(docs, "person_id", F.col("location_id") == location_id)
     return to_target(table, docs)
@@ -44,7 +84,7 @@ def initial_load(table: str, staged: DataFrame, members: DataFrame, location_id:
 def addressed(table: str, staged: DataFrame, members: DataFrame) -> DataFrame:
     """Target documents with the database they belong to, for cohorts of any number of locations."""
     where = members.select("person_id", location_db().alias(DB)).distinct()
-    docs = to_target(table, restrict_to(staged, where, "person_id"))
+    docs = to_target(table, restrict_to(staged, where, "person_id", measure=True))
     return docs.join(where, "person_id")
 
 
@@ -61,7 +101,7 @@ def nightly_upsert(
     spark: SparkSession, staging_root: str, target_root: str, summary: DataFrame, date: Column, tables: Sequence[str]
 ) -> None:
     """Bring the databases of all locations up to date with staging."""
-    members = cohorts(summary, date)
+    members = written(cohorts(summary, date), "cohorts")
     for table in tables:
         manifest = read_manifest(spark, target_root)
         write_documents(

@@ -1,7 +1,9 @@
-"""Target document databases: JSON documents by ``_id`` with a revision, one folder per database.
+"""Target document databases: JSON documents by ``_id`` with a revision.
 
 All databases below a root are one keyed table with the column ``db``, so that the documents of
-every location are written, or compared, by one job and not by a loop of jobs.
+every location are written, or compared, by one job and not by a loop of jobs. The JSON text of a
+document is one column beside its key, revision, patient and build date: documents of all types
+share one schema, and the manifest is read without their bodies.
 """
 
 from __future__ import annotations
@@ -13,23 +15,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.columns import row_type
-from chartloom.sources.keyed import KeyedTable
+from chartloom.functions.json import parse_doc_json, to_doc_json
+from chartloom.sources.keyed import DELETED, KeyedTable
 
 DB = "db"
+BODY = "body"
 MANIFEST = row_type(_id="string", _rev="string", person_id="bigint", build_date="timestamp")
 
 
-def document_store(spark: SparkSession, root: str, schema: T.StructType = MANIFEST) -> KeyedTable:
-    with_db = T.StructType([*schema.fields, T.StructField(DB, T.StringType())])
-    return KeyedTable(spark, root, [DB, "_id"], "json", with_db, partition_by=DB)
+def document_store(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, root, [DB, "_id"], partition_by=DB)
 
 
-def next_revision(df: DataFrame) -> DataFrame:
-    """The revision a write leaves: a counter one above the stored one, and a digest of the document."""
-    stored = F.col("_rev") if "_rev" in df.columns else F.lit(None).cast("string")
-    counter = F.coalesce(F.split_part(stored, F.lit("-"), F.lit(1)).try_cast("int"), F.lit(0)) + 1
-    body = F.to_json(F.struct(*[c for c in df.columns if c not in ("_rev", DB)]))
-    return df.withColumn("_rev", F.concat_ws("-", counter.cast("string"), F.md5(body)))
+def stored_form(df: DataFrame) -> DataFrame:
+    """Key, next revision, manifest columns and JSON text of documents.
+
+    The revision is a counter one above the stored one, and a digest of the text.
+    """
+
+    def optional(name: str, kind: str):
+        return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+
+    body = to_doc_json(F.struct(*[c for c in df.columns if c not in (DB, "_rev", DELETED)]))
+    rows = df.select(
+        DB,
+        "_id",
+        optional("_rev", "string"),
+        optional("person_id", "bigint"),
+        optional("build_date", "timestamp"),
+        F.coalesce(optional(DELETED, "boolean"), F.lit(False)).alias(DELETED),
+        body.alias(BODY),
+    )
+    counter = F.coalesce(F.split_part("_rev", F.lit("-"), F.lit(1)).try_cast("int"), F.lit(0)) + 1
+    return rows.withColumn("_rev", F.concat_ws("-", counter.cast("string"), F.md5(BODY)))
 
 
 def write_documents(
@@ -52,8 +70,7 @@ def write_documents(
         df = df.withColumn(DB, F.lit(db))
     if not create and not database_exists(spark, root, db):
         raise FileNotFoundError(f"no database {db}")
-    store = document_store(spark, root)
-    return store.upsert(next_revision(df), writer, writer_batch, maxRecordsPerFile=bulk_size)
+    return document_store(spark, root).upsert(stored_form(df), writer, writer_batch, maxRecordsPerFile=bulk_size)
 
 
 def database_exists(spark: SparkSession, root: str, db: str) -> bool:
@@ -61,10 +78,22 @@ def database_exists(spark: SparkSession, root: str, db: str) -> bool:
     return store.exists() and not store.read().where(F.col(DB) == db).isEmpty()
 
 
+def _stored(spark: SparkSession, root: str, db: str | None) -> DataFrame:
+    rows = document_store(spark, root).read()
+    return rows if db is None else rows.where(F.col(DB) == db)
+
+
 def read_documents(spark: SparkSession, root: str, schema: T.StructType, db: str | None = None) -> DataFrame:
-    """Stored documents, as far as ``schema`` names their fields."""
-    rows = document_store(spark, root, schema).read()
-    return rows if db is None else rows.where(F.col(DB) == db).drop(DB)
+    """Stored documents, as far as ``schema`` names their fields; all databases have the column ``db``."""
+    kept = ["_id", "_rev"] if db is not None else [DB, "_id", "_rev"]
+    fields = T.StructType([f for f in schema.fields if f.name not in kept])
+    parsed = _stored(spark, root, db).select(*kept, parse_doc_json(BODY, fields).alias("__doc"))
+    return parsed.select(*kept, "__doc.*")
+
+
+def export_json(spark: SparkSession, root: str, db: str, path: str) -> None:
+    """One database as JSON lines, the form bulk loaders of document databases take."""
+    _stored(spark, root, db).select(BODY).write.text(path)
 
 
 def read_manifest(
@@ -77,6 +106,8 @@ def read_manifest(
 
     Without ``db`` the rows of all databases, with the column ``db``.
     """
-    store = document_store(spark, root)
-    rows = store.read() if store.exists() else spark.createDataFrame([], store.schema)
-    return rows.select(DB, *columns) if db is None else rows.where(F.col(DB) == db).select(*columns)
+    if not document_store(spark, root).exists():
+        nothing = spark.createDataFrame([], MANIFEST).withColumn(DB, F.lit(""))
+        return nothing.select(DB, *columns) if db is None else nothing.select(*columns)
+    rows = _stored(spark, root, db)
+    return rows.select(DB, *columns) if db is None else rows.select(*columns)

@@ -1,19 +1,21 @@
 """Tables that are changed by key without rewriting them.
 
 An append to a keyed store replaces the rows of the same key. On plain files this is a folder
-``data/batch=N`` for every append and a one-row folder ``commits/batch=N`` once that append is
-complete. Readers take the latest committed batch of every key. A full load is a *base*: batches
-before the last base are not read. So an append costs what it writes, a reader never sees half an
-append, and an append that is repeated after a failure overwrites its own folder. One writer per
-table at a time is assumed.
+``data/batch=N`` for every append and a one-row folder ``commits/N`` once that append is complete.
+Readers take the latest committed batch of every key. A full load is a *base*: batches before the
+last base are not read. So an append costs what it writes, a reader never sees half an append, and
+an append that is repeated after a failure overwrites its own folder. One writer per table at a
+time is assumed.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,26 +25,17 @@ from chartloom.operators.relational import broadcast_if_small, missing_from
 BATCH = "batch"
 DELETED = "_deleted"
 
-_COMMIT = row_type(batch_id="bigint", base="boolean", writer="string", writer_batch="bigint")
+# The schema goes with the commit, so that readers need not look for it in the files.
+_COMMIT = row_type(batch_id="bigint", base="boolean", writer="string", writer_batch="bigint", columns="string")
 
 
 class KeyedTable:
-    """A keyed table in a folder; ``file_format`` is ``parquet`` or ``json``."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        keys: str | Sequence[str],
-        file_format: str = "parquet",
-        schema: T.StructType | None = None,
-        partition_by: str | None = None,
-    ):
+    """A keyed table of parquet files in a folder, optionally in one subfolder per value of a column."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: str | Sequence[str], partition_by: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = as_list(keys)
-        self.file_format = file_format
-        self.schema = schema
         self.partition_by = partition_by
 
     # -- commits ------------------------------------------------------------------------------
@@ -56,43 +49,40 @@ class KeyedTable:
     def exists(self) -> bool:
         return self._commits() is not None
 
-    def _state(self) -> tuple[int, int]:
-        """Last batch and last base; -1 where there is none."""
+    def _last(self, done: Column | None = None) -> tuple[int, int, bool]:
+        """Last batch, last base (-1 where there is none), and whether a commit fulfils ``done``."""
         commits = self._commits()
         if commits is None:
-            return -1, -1
-        last, base = commits.agg(
-            F.max("batch_id"), F.max(F.when(F.col("base"), F.col("batch_id")))
+            return -1, -1, False
+        number = F.col("batch_id")
+        last, base_id, found = commits.agg(
+            F.max(number),
+            F.max(F.when(F.col("base"), number)),
+            F.count_if(F.lit(False) if done is None else done),
         ).first()
-        return (-1 if last is None else last), (-1 if base is None else base)
-
-    def _is_done(self, writer: str, writer_batch: int) -> bool:
-        commits = self._commits()
-        if commits is None:
-            return False
-        same = (F.col("writer") == writer) & (F.col("writer_batch") == writer_batch)
-        return not commits.where(same).isEmpty()
+        return (-1 if last is None else last), (-1 if base_id is None else base_id), found > 0
 
     # -- writes -------------------------------------------------------------------------------
 
     def _append(
-        self, df: DataFrame, base: bool, writer: str | None, writer_batch: int | None, options: dict
+        self, df: DataFrame, number: int, base: bool, writer: str | None, writer_batch: int | None, options: dict
     ) -> None:
-        number = self._state()[0] + 1
         if DELETED not in df.columns:
             df = df.withColumn(DELETED, F.lit(False))
+        columns = df.schema.json()
         if self.partition_by:
             # Files of even size for every partition: small ones are merged, a dominant one is split.
             df = df.hint("rebalance", F.col(self.partition_by))
         out = df.write.mode("overwrite").options(**options)
         if self.partition_by:
             out = out.partitionBy(self.partition_by)
-        out.format(self.file_format).save(f"{self.path}/data/{BATCH}={number}")
+        out.parquet(f"{self.path}/data/{BATCH}={number}")
         commit = self.spark.range(1).select(
             F.lit(number).cast("bigint").alias("batch_id"),
             F.lit(base).alias("base"),
             F.lit(writer).cast("string").alias("writer"),
             F.lit(writer_batch).cast("bigint").alias("writer_batch"),
+            F.lit(columns).alias("columns"),
         )
         commit.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/{number}")
 
@@ -100,10 +90,11 @@ class KeyedTable:
         self, df: DataFrame, writer: str | None = None, writer_batch: int | None = None, **options: object
     ) -> bool:
         """Replace the rows of all keys in ``df``; False if this writer's batch is already in."""
-        if writer is not None and self._is_done(writer, writer_batch):
-            return False
-        self._append(df, False, writer, writer_batch, options)
-        return True
+        same = (F.col("writer") == F.lit(writer)) & (F.col("writer_batch") == F.lit(writer_batch))
+        last, _, done = self._last(done=None if writer is None else same)
+        if not done:
+            self._append(df, last + 1, False, writer, writer_batch, options)
+        return not done
 
     def delete(self, keys: DataFrame, writer: str | None = None, writer_batch: int | None = None) -> bool:
         """Remove the rows of all keys in ``keys``."""
@@ -112,7 +103,7 @@ class KeyedTable:
 
     def replace(self, df: DataFrame, **options: object) -> None:
         """Full load."""
-        self._append(df, True, None, None, options)
+        self._append(df, self._last()[0] + 1, True, None, None, options)
 
     def compact(self) -> None:
         """Write the current rows as a new base, so that readers have no appends to merge."""
@@ -120,19 +111,21 @@ class KeyedTable:
 
     # -- reads --------------------------------------------------------------------------------
 
-    def _batches(self, first: int, last: int) -> DataFrame | None:
-        """Rows of the committed batches in a range, with their batch number."""
-        if last < first:
+    def _batches(self, commits: list) -> DataFrame | None:
+        """Rows of some batches with their batch number; batches of one schema are read together."""
+        by_columns: dict[str, list[int]] = {}
+        for commit in commits:
+            by_columns.setdefault(commit["columns"], []).append(commit["batch_id"])
+        if not by_columns:
             return None
-        reader = self.spark.read.option("basePath", f"{self.path}/data")
-        if self.schema is not None:
-            names = {f.name for f in self.schema.fields}
-            extra = [T.StructField(DELETED, T.BooleanType())] if DELETED not in names else []
-            reader = reader.schema(T.StructType([*self.schema.fields, *extra]))
-        elif self.file_format == "parquet":
-            reader = reader.option("mergeSchema", "true")
-        paths = [f"{self.path}/data/{BATCH}={n}" for n in range(first, last + 1)]
-        return reader.format(self.file_format).load(paths)
+
+        def read(columns: str, numbers: list[int]) -> DataFrame:
+            schema = T.StructType.fromJson(json.loads(columns)).add(BATCH, T.LongType())
+            paths = [f"{self.path}/data/{BATCH}={n}" for n in numbers]
+            return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+
+        frames = [read(columns, numbers) for columns, numbers in by_columns.items()]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
     def read(self) -> DataFrame:
         """Current rows. All rows a batch wrote for a key belong together.
@@ -140,16 +133,16 @@ class KeyedTable:
         The base is unique by key and is only filtered by the keys appended since, which are
         few; the appends alone are aggregated.
         """
-        last, base = self._state()
+        last, base, _ = self._last()
         if last < 0:
             raise FileNotFoundError(f"no committed data in {self.path}")
-        appended = self._batches(base + 1, last)
-        loaded = self._batches(base, base) if base >= 0 else None
+        commits = self._commits().where(F.col("batch_id") >= base).orderBy("batch_id").collect()
+        loaded = self._batches([c for c in commits if c["batch_id"] == base])
+        appended = self._batches([c for c in commits if c["batch_id"] != base])
         if appended is None:
             current = loaded
         else:
-            newest = appended.groupBy(*self.keys).agg(F.max(BATCH).alias(BATCH))
-            newest = broadcast_if_small(newest)
+            newest = broadcast_if_small(appended.groupBy(*self.keys).agg(F.max(BATCH).alias(BATCH)))
             current = appended.join(newest, [*self.keys, BATCH], "left_semi")
             if loaded is not None:
                 kept = missing_from(loaded, newest, self.keys)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chartloom.columns import ColumnOrName, as_column
 from chartloom.operators.relational import ensure_build_date, restrict_to, rows_of_entities_seen_at
 from chartloom.operators.sync import classify, cohorts, leavers, stale_parts, tombstones
 from chartloom.plans import dimensions as dim
@@ -28,9 +29,9 @@ from chartloom.sources.staging import read_staging, replace_staging
 PATIENT_TABLE = "patient"
 
 
-def location_db(location: str = "location_id") -> Column:
+def location_db(location: ColumnOrName = "location_id") -> Column:
     """Name of the database of a location."""
-    return F.concat(F.lit("location-"), F.col(location).cast("string"))
+    return F.concat(F.lit("location-"), as_column(location).cast("string"))
 
 
 def document_jobs(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,15 +25,27 @@ class ParquetTables:
     suffix: str = ".parquet"
 
 
+class Stride(NamedTuple):
+    """How a database table is read in ranges: numeric column, bounds of the stride, number of ranges."""
+
+    column: str
+    lower: int
+    upper: int
+    n: int
+    fetchsize: int = 10_000
+
+
 @dataclass(frozen=True)
 class JdbcTables:
     """A database. ``options`` go to the reader: user, password, driver and the like.
 
-    Zero dates become NULL at the source where the driver has an option for it in the URL.
+    Zero dates become NULL at the source where the driver has an option for it in the URL. A table
+    with a stride is read by many connections, any other by one.
     """
 
     url: str
     options: dict[str, str] = field(default_factory=dict)
+    strides: dict[str, Stride] = field(default_factory=dict)
 
 
 Source = ParquetTables | JdbcTables
@@ -92,6 +106,33 @@ def read_partitioned(
     return reader.options(url=source.url, dbtable=name).load()
 
 
+class SourceTables(Mapping):
+    """The tables of a source by name, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, source: Source, names: Sequence[str]):
+        self.names = list(names)
+
+        @cache
+        def read(name: str) -> DataFrame:
+            stride = source.strides.get(name) if isinstance(source, JdbcTables) else None
+            if stride is None:
+                return read_table(spark, source, name)
+            return read_partitioned(spark, source, name, *stride)
+
+        self.read = read
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.names:
+            raise KeyError(name)
+        return self.read(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.names)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
 def filter_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.where(F.col(column).isin(list(values)))
 

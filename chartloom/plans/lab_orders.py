@@ -9,6 +9,7 @@ from chartloom.functions.text import doc_key
 from chartloom.operators.nesting import PART_ROWS, nest_set
 from chartloom.operators.relational import ensure_build_date, lookup, measured, not_voided, rename_map, tag
 from chartloom.plans import dimensions as dim
+from chartloom.session import concurrently
 
 
 def lab_order_documents(
@@ -23,7 +24,7 @@ def lab_order_documents(
         *"order_id order_type_id uuid date_activated patient_id encounter_id orderer concept_id".split(),
         F.col("order_number").alias("ordernumber"),
     )
-    codes, people = measured(dim.concepts(tables)), dim.providers_by_id(tables)
+    codes, people = concurrently(lambda: measured(dim.concepts(tables)), lambda: dim.providers_by_id(tables))
     places = dim.locations(tables).withColumnRenamed("location_uuid", "locationuuid")
     identifiers = nest_set(
         dim.identifiers(tables), "patient_id", F.col("identifier"), "identifiers", part_rows=part_rows

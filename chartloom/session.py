@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are planned for. They are offered to whoever builds the session;
@@ -50,3 +53,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently(*makers: Callable[[], object]) -> list:
+    """Make frames whose plans depend on size checks, with the checks running as concurrent jobs."""
+    with ThreadPoolExecutor(len(makers)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(make)) for make in makers]]

@@ -10,8 +10,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.columns import ColumnOrName, as_column
-from chartloom.operators.relational import restrict_to
+from chartloom.columns import ColumnOrName, as_column, row_bytes
+from chartloom.operators.relational import BROADCAST_BYTES
 
 # Up to this many keys are pushed to the source as literals.
 LITERAL_KEYS = 1_000
@@ -137,8 +137,32 @@ def filter_in(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return df.where(F.col(column).isin(list(values)))
 
 
+@dataclass(frozen=True)
+class KeySet:
+    """Distinct keys that were looked at once: few as a list, many as a frame with their range."""
+
+    rows: DataFrame
+    low: object
+    high: object
+    values: list | None
+
+
+def key_set(keys: DataFrame, column: str, literal_keys: int = LITERAL_KEYS) -> KeySet:
+    rows = keys.select(F.col(column).alias("__key")).where(F.col("__key").isNotNull()).distinct()
+    n, low, high, size = rows.agg(
+        F.count(F.lit(1)), F.min("__key"), F.max("__key"), F.sum(row_bytes(rows))
+    ).first()
+    if n <= literal_keys:
+        return KeySet(rows, low, high, [row[0] for row in rows.collect()])
+    return KeySet(F.broadcast(rows) if size <= BROADCAST_BYTES else rows, low, high, None)
+
+
 def scan_by_keys(
-    df: DataFrame, keys: DataFrame, column: str, key_column: str | None = None, literal_keys: int = LITERAL_KEYS
+    df: DataFrame,
+    keys: DataFrame | KeySet,
+    column: str,
+    key_column: str | None = None,
+    literal_keys: int = LITERAL_KEYS,
 ) -> DataFrame:
     """Rows whose ``column`` is among the keys.
 
@@ -147,9 +171,8 @@ def scan_by_keys(
     behind the range of the keys as a filter for the scan, with the keys broadcast if their
     measured size allows.
     """
-    keys = keys.select(F.col(key_column or column).alias(column)).where(F.col(column).isNotNull()).distinct()
-    few = keys.limit(literal_keys + 1).collect()
-    if len(few) <= literal_keys:
-        return filter_in(df, column, [row[0] for row in few])
-    low, high = keys.agg(F.min(column), F.max(column)).first()
-    return restrict_to(df.where(F.col(column).between(low, high)), keys, column, measure=True)
+    found = keys if isinstance(keys, KeySet) else key_set(keys, key_column or column, literal_keys)
+    if found.values is not None:
+        return filter_in(df, column, found.values)
+    near = df.where(F.col(column).between(found.low, found.high))
+    return near.join(found.rows, F.col(column) == F.col("__key"), "left_semi")

@@ -399,7 +399,7 @@ def program_doc(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {SQL}, names AS (SELECT person_id, person_name FROM person_name),
           samples AS (
             SELECT order_id, arg_min(uuid, (obs_datetime, uuid)) AS obs_uuid, min(obs_datetime) AS sample_collection_date,
-                   arg_min(struct_pack(c := value_coded), (obs_datetime, uuid)).c AS value_coded
+                   arg_min(struct_pack(c := value_coded), (obs_datetime, uuid, coalesce(value_coded, -1))).c AS value_coded
             FROM obs WHERE order_id IS NOT NULL AND (voided IS NULL OR NOT voided) GROUP BY 1)
         SELECT o_orderkey AS order_id, 'order-' || o_orderkey AS uuid, o_orderpriority AS ordernumber, o_orderdate AS date_activated,
                o_custkey AS patient_id, o_orderkey AS encounter_id, o_custkey AS order_type, d.concept_uuid AS conceptuuid,

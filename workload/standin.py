@@ -300,13 +300,13 @@ encounter_docs AS (
       SELECT DISTINCT l_orderkey AS encounter_id, concat_ws('-', 'ep', l_orderkey, l_suppkey) AS uuid, concat_ws('-', 'ep', l_orderkey, l_suppkey) || '|' || provider_name || '|' ||
              provider_identifier || ' - ' || provider_name AS el
       FROM lineitem JOIN provider ON provider_id = l_suppkey) GROUP BY 1) p ON p.encounter_id = e.encounter_id
-  LEFT JOIN (SELECT encounter_id, count(*) AS n, string_agg(el, ';' ORDER BY order_uuid) AS orders FROM (
-      SELECT DISTINCT encounter_id, order_uuid, order_uuid || '|' || order_number || '|' || concept_name || '|' ||
+  LEFT JOIN (SELECT encounter_id, count(*) AS n, string_agg(el, ';' ORDER BY order_uuid, date_activated, el) AS orders FROM (
+      SELECT DISTINCT encounter_id, order_uuid, date_activated, order_uuid || '|' || order_number || '|' || concept_name || '|' ||
              concat_ws(' ', provider_identifier, provider_name) || '|' || order_type_name AS el FROM live_orders) GROUP BY 1) o
     ON o.encounter_id = e.encounter_id
   LEFT JOIN (SELECT encounter_id, count(*) AS n, string_agg(
       uuid || '|' || concept_name || '|' || coalesce(value_type || '=' || CASE WHEN value_coded IS NULL THEN value_not_coded
           WHEN answer_uuid IS NULL THEN '{}' ELSE '{"uuid":"' || answer_uuid || '","display":"' || answer_name || '"}' END, '-') || '|' || n_members, ';'
-      ORDER BY obs_datetime, obs_id, uuid) AS observations FROM root_obs GROUP BY 1) b ON b.encounter_id = e.encounter_id
+      ORDER BY obs_datetime, obs_id, uuid, value_type, value_not_coded) AS observations FROM root_obs GROUP BY 1) b ON b.encounter_id = e.encounter_id
   WHERE e.voided IS NULL OR NOT e.voided)
 """

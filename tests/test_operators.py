@@ -62,7 +62,7 @@ def test_key_joins_with_nulls(rows):
 
 def test_latest_n_with_ties_prunes_before_the_shuffle(rows, capsys):
     df = rows("p int, t int, id int", *[(1, i // 4, i) for i in range(40)], *[(2, 7, i) for i in range(3)])
-    got = latest_n(df, "p", "t", 10, tiebreak="id")
+    got = latest_n(df.repartition(3, "id"), "p", "t", 10, tiebreak="id")
     assert values(got) == sorted([(1, i // 4, i) for i in range(30, 40)] + [(2, 7, i) for i in range(3)], key=repr)
     got.explain()
     assert "row_number(), 10, Partial" in capsys.readouterr().out

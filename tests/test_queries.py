@@ -22,7 +22,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.oracle_sql())
 def test_query_agrees_with_sql(spark, db, name):
     df = entry.queries()[name](spark, SF)
     result = db.execute(entry.oracle_sql()[name])

@@ -61,3 +61,30 @@ SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_ite
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+LINE_DEDUP = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, len(ls) AS n, unnest(range(1, len(ls) + 1)) AS j, unnest(ls) AS line FROM d),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM l),
+c AS (SELECT *, (coalesce(lag(h) OVER w, 0) * 1000003 + h) % 2147483647 % 3 = 0 AS c FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
+b AS (
+  SELECT *, CASE WHEN j = n OR (c AND NOT coalesce(lag(c) OVER w, false)) THEN 1 ELSE 0 END AS b FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY j)),
+k AS (
+  SELECT *, coalesce(sum(b) OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b),
+chunk AS (SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY j) AS body FROM k GROUP BY doc_id, chunk),
+marked AS (
+  SELECT *, n >= 2 AND regexp_matches(body, '[^\x20\x09-\x0D]')
+            AND row_number() OVER (PARTITION BY n >= 2, body ORDER BY doc_id, chunk) > 1 AS gone FROM chunk)
+SELECT documents.doc_id, coalesce(sum(n), 0)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents LEFT JOIN marked ON documents.doc_id = marked.doc_id GROUP BY documents.doc_id
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT payload_digest, payload_bytes, max(page_id) AS kept FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN kept <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN kept <> page_id THEN kept END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest, payload_bytes)
+"""

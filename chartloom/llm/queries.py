@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import decontaminate, jaccard_join, language_id, sql, substring_dedup, suffix_dedup
+from chartloom.llm import decontaminate, jaccard_join, language_id, line_dedup, quality_lm, sql, substring_dedup, suffix_dedup, toxicity, warc
 from chartloom.llm.bpe import Tokenizer
 from chartloom.llm.registry import ORACLE, QUERIES, query, table
 from chartloom.llm.rows import fold
@@ -22,6 +22,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query(sql.LINE_DEDUP)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.summary(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(sql.SUBSTRING_DEDUP)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -33,6 +39,11 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@query()
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.judge(table(spark, sf_dir, "documents"))
+
+
 @query(sql.DECONTAMINATION)
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -53,6 +64,20 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query(sql.WARC)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packages = warc.write(warc.roles(table(spark, sf_dir, "pages")))
+    return warc.read(packages, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -3,7 +3,7 @@
 The shingles of a text are hashed into ``DIMENSIONS`` groups; the numbers of shingles by group are a
 point. Two sets share at most the sum of the smaller of each pair of coordinates, and so do all sets
 below a tree node whose largest coordinates are taken instead; branches and points whose bound is too
-small for the similarity are skipped, and the other pairs are verified on the sets.
+small for the similarity are skipped, as are pairs whose bound in more groups is; the others are verified on the sets.
 
 Trees are built where similar sets can be. If the similarity of two sets is at least t, they differ in
 at most a share (1 - t) / t of the smaller one; so when shingles are dealt to more parts than that, one
@@ -37,6 +37,7 @@ from chartloom.llm.texts import LOWER, Piece, byte_sums, mix, pieces, signed, sp
 from chartloom.session import written
 
 DIMENSIONS = 32
+FINE = 1024
 LEAF = 16
 CROWD = 1000
 GROWTH = 1.5  # of sizes from one number of parts to the next
@@ -103,8 +104,9 @@ def signatures(own: np.ndarray, t: float) -> np.ndarray:
     return np.concatenate(out)
 
 
-def counts(own: np.ndarray) -> np.ndarray:
-    return np.bincount((own >> np.uint64(7)).astype(np.int64) & (DIMENSIONS - 1), minlength=DIMENSIONS)
+def counts(own: np.ndarray, groups_: int = DIMENSIONS) -> np.ndarray:
+    """How many shingles each group has."""
+    return np.bincount((own >> np.uint64(7)).astype(np.int64) & (groups_ - 1), minlength=groups_)
 
 
 def needed(a, b, t: float):
@@ -156,25 +158,21 @@ def similar(a: np.ndarray, b: np.ndarray, t: tuple[int, int]) -> bool:
 def linked(sets: list[np.ndarray], t: tuple[int, int], asking: np.ndarray | None = None) -> np.ndarray:
     """For each set, the number of the first set of its component; only pairs with an asking set are looked at."""
     head = np.arange(len(sets))
-
-    def top(k: int) -> int:
-        while head[k] != k:
-            head[k] = head[head[k]]
-            k = head[k]
-        return k
-
     share = t[0] / t[1]
     sizes = np.array([len(s) for s in sets])
     points = np.array([counts(s) for s in sets])
+    # Counts in more groups, with the same bound, for the pairs that the tree lets pass.
+    fine = np.array([counts(s, FINE) for s in sets], np.uint16 if sizes.max(initial=0) < 1 << 16 else np.int64)
     tree = Tree(points, sizes)
     for k in range(len(sets)) if asking is None else np.flatnonzero(asking).tolist():
-        for other in np.sort(tree.near(points[k], int(sizes[k]), share)).tolist():
-            if other == k or (asking is None and other > k):
-                continue
-            a, b = top(k), top(other)
+        near = np.sort(tree.near(points[k], int(sizes[k]), share))
+        near = near[(head[near] != head[k]) & ((near < k) | (asking is not None))]
+        bound = np.minimum(fine[near], fine[k]).sum(axis=1, dtype=np.int64)
+        for other in near[bound >= needed(int(sizes[k]), sizes[near], share)].tolist():
+            a, b = head[k], head[other]
             if a != b and similar(sets[k], sets[other], t):
-                head[max(a, b)] = min(a, b)
-    return np.array([top(k) for k in range(len(sets))])
+                head[head == max(a, b)] = min(a, b)
+    return head
 
 
 def _name(own: np.ndarray) -> int:

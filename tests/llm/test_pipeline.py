@@ -24,7 +24,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert names == ["language", "lines", "near_copies", "decontamination", "tokens"]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     # Rows that the table lacks: no text, no letters, an extra column, a doubled row, a null id.
-    extra = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long"))
+    extra = docs.limit(1).withColumn("doc_id", F.lit(None).cast("long"))
     odd = spark.createDataFrame([(9001, None, None, None, None), (9002, "12 34 !?", "en", "s", 8), (9003, "", "en", "s", 0)], docs.schema)
     docs = docs.unionByName(docs.limit(4)).unionByName(extra).unionByName(odd).withColumn("version", F.lit("x"))
     items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
@@ -52,7 +52,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r.doc_id for r in after} == {g for _, _, g in linked}
     before, after = seen["decontamination"]
     want = [i for i, n, hit, _ in hits(text(before), items) if not (hit and 20 * hit >= n)]
-    assert sorted(r.doc_id for r in after) == sorted(want)
+    assert sorted((r.doc_id for r in after), key=str) == sorted(want, key=str)
     before, after = seen["tokens"]
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), special_tokens={})
     texts = dict(text(before))

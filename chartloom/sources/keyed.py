@@ -1,32 +1,36 @@
 """Tables that are changed by key without rewriting them.
 
 An append to a keyed store replaces the rows of the same key. On plain files this is a folder
-``data/batch=N`` for every append and a one-row folder ``commits/N`` once that append is complete.
-Readers take the latest committed batch of every key. A full load is a *base*: batches before the
-last base are not read. So an append costs what it writes, a reader never sees half an append, and
-an append that is repeated after a failure overwrites its own folder. One writer per table at a
-time is assumed.
+``data/batch=ID`` with an id of its own for every append, and a file ``commits/N.json`` once that append
+is complete. A commit takes the next free number by creating its file, which fails if another writer has
+it, so writers at the same time lose nothing and never touch each other's folders. Readers take the
+latest committed batch of every key.
+
+A *base* is a commit that stands for all up to a number: a full load for all before itself, ``compact``
+for those it has read, so appends made meanwhile still count. Only commits since the last base are
+read. After ``COMPACT_AFTER`` appends the writer that notices makes a new base. A repeated batch of a
+stream changes nothing; a base carries the last batch of every writer on.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartloom.columns import as_list, row_type
+from chartloom.columns import as_list
 from chartloom.operators.relational import broadcast_if_small, missing_from
 
 BATCH = "batch"
 DELETED = "_deleted"
 
-# The schema goes with the commit, so that readers need not look for it in the files.
-_COMMIT = row_type(batch_id="bigint", base="boolean", writer="string", writer_batch="bigint", columns="string")
+COMPACT_AFTER = 64
 
 
 class KeyedTable:
@@ -40,61 +44,83 @@ class KeyedTable:
 
     # -- commits ------------------------------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
+    def _folder(self, name: str):
+        """A folder of the table in Hadoop's file system, and that system."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+    def _names(self, folder: str) -> list[str]:
+        system, path = self._folder(folder)
+        return sorted(f.getPath().getName() for f in system.listStatus(path)) if system.exists(path) else []
+
+    def _create(self, name: str, text: str) -> bool:
+        """Write a file; False if there is one already."""
+        system, path = self._folder(name)
         try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.path}/commits/*")
-        except AnalysisException:  # nothing was written yet
-            return None
+            out = system.create(path, False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" not in error.java_exception.getClass().getName() and not system.exists(path):
+                raise
+            return False
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    def _commits(self) -> list[dict]:
+        """The last base, if there is one, and the appends that it does not stand for, in order."""
+        bases = [tuple(map(int, name.split("_"))) for name in self._names("bases") if not name.startswith(".")]
+        number, covers = max(bases, key=lambda b: (b[1], b[0]), default=(-1, -1))
+        names = [n for n in self._names("commits") if n.endswith(".json") and not n.startswith(".")]
+        wanted = [n for n in names if int(n[:-5]) == number or int(n[:-5]) > covers]
+        if not wanted:
+            return []
+        files = self.spark.read.text([f"{self.path}/commits/{n}" for n in wanted], wholetext=True)
+        found = sorted((json.loads(r.value) for r in files.collect() if r.value), key=lambda c: c["number"])
+        # A base whose writer ended before it could be listed counts as well.
+        number, covers = max([(c["number"], c["covers"]) for c in found if c["base"]], key=lambda b: (b[1], b[0]), default=(-1, -1))
+        return [c for c in found if c["number"] == number] + [c for c in found if not c["base"] and c["number"] > covers]
 
     def exists(self) -> bool:
-        return self._commits() is not None
-
-    def _last(self, done: Column | None = None) -> tuple[int, int, bool]:
-        """Last batch, last base (-1 where there is none), and whether a commit fulfils ``done``."""
-        commits = self._commits()
-        if commits is None:
-            return -1, -1, False
-        number = F.col("batch_id")
-        last, base_id, found = commits.agg(
-            F.max(number),
-            F.max(F.when(F.col("base"), number)),
-            F.count_if(F.lit(False) if done is None else done),
-        ).first()
-        return (-1 if last is None else last), (-1 if base_id is None else base_id), found > 0
+        return bool(self._names("commits"))
 
     # -- writes -------------------------------------------------------------------------------
 
-    def _append(
-        self, df: DataFrame, number: int, base: bool, writer: str | None, writer_batch: int | None, options: dict
-    ) -> None:
+    def _append(self, df: DataFrame, commit: dict, options: dict) -> None:
         if DELETED not in df.columns:
             df = df.withColumn(DELETED, F.lit(False))
-        columns = df.schema.json()
+        commit = commit | {"id": uuid.uuid4().hex, "columns": df.schema.json()}
         if self.partition_by:
             # Files of even size for every partition: small ones are merged, a dominant one is split.
             df = df.hint("rebalance", F.col(self.partition_by))
-        out = df.write.mode("overwrite").options(**options)
+        out = df.write.mode("error").options(**options)
         if self.partition_by:
             out = out.partitionBy(self.partition_by)
-        out.parquet(f"{self.path}/data/{BATCH}={number}")
-        commit = self.spark.range(1).select(
-            F.lit(number).cast("bigint").alias("batch_id"),
-            F.lit(base).alias("base"),
-            F.lit(writer).cast("string").alias("writer"),
-            F.lit(writer_batch).cast("bigint").alias("writer_batch"),
-            F.lit(columns).alias("columns"),
-        )
-        commit.coalesce(1).write.mode("overwrite").json(f"{self.path}/commits/{number}")
+        out.parquet(f"{self.path}/data/{BATCH}={commit['id']}")
+        names = [n for n in self._names("commits") if n.endswith(".json") and not n.startswith(".")]
+        number = int(names[-1][:-5]) + 1 if names else 0
+        while True:
+            own = commit | {"number": number}
+            if commit["base"] and commit["covers"] is None:
+                own["covers"] = number - 1
+            if self._create(f"commits/{number:012d}.json", json.dumps(own)):
+                break
+            number += 1
+        if commit["base"]:
+            self._create(f"bases/{number}_{own['covers']}", "")
 
     def upsert(
         self, df: DataFrame, writer: str | None = None, writer_batch: int | None = None, **options: object
     ) -> bool:
         """Replace the rows of all keys in ``df``; False if this writer's batch is already in."""
-        same = (F.col("writer") == F.lit(writer)) & (F.col("writer_batch") == F.lit(writer_batch))
-        last, _, done = self._last(done=None if writer is None else same)
-        if not done:
-            self._append(df, last + 1, False, writer, writer_batch, options)
-        return not done
+        commits = self._commits()
+        if writer is not None and any(c["writers"].get(writer) == writer_batch for c in commits):
+            return False
+        own = {} if writer is None else {writer: writer_batch}
+        self._append(df, {"base": False, "covers": None, "writers": own}, options)
+        if len(commits) >= COMPACT_AFTER:
+            self.compact()
+        return True
 
     def delete(self, keys: DataFrame, writer: str | None = None, writer_batch: int | None = None) -> bool:
         """Remove the rows of all keys in ``keys``."""
@@ -103,42 +129,49 @@ class KeyedTable:
 
     def replace(self, df: DataFrame, **options: object) -> None:
         """Full load."""
-        self._append(df, self._last()[0] + 1, True, None, None, options)
+        self._append(df, {"base": True, "covers": None, "writers": _last_batches(self._commits())}, options)
 
     def compact(self) -> None:
         """Write the current rows as a new base, so that readers have no appends to merge."""
-        self.replace(self.read())
+        commits = self._commits()
+        covers = max(c["number"] for c in commits)
+        self._append(self._rows(commits), {"base": True, "covers": covers, "writers": _last_batches(commits)}, {})
 
     # -- reads --------------------------------------------------------------------------------
 
-    def _batches(self, commits: list) -> DataFrame | None:
-        """Rows of some batches with their batch number; batches of one schema are read together."""
-        by_columns: dict[str, list[int]] = {}
+    def _batches(self, commits: list[dict]) -> DataFrame | None:
+        """Rows of some batches with the numbers of their commits; batches of one schema are read together."""
+        by_columns: dict[str, list[dict]] = {}
         for commit in commits:
-            by_columns.setdefault(commit["columns"], []).append(commit["batch_id"])
+            by_columns.setdefault(commit["columns"], []).append(commit)
         if not by_columns:
             return None
 
-        def read(columns: str, numbers: list[int]) -> DataFrame:
-            schema = T.StructType.fromJson(json.loads(columns)).add(BATCH, T.LongType())
-            paths = [f"{self.path}/data/{BATCH}={n}" for n in numbers]
-            return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+        def read(columns: str, own: list[dict]) -> DataFrame:
+            schema = T.StructType.fromJson(json.loads(columns)).add(BATCH, T.StringType())
+            paths = [f"{self.path}/data/{BATCH}={c['id']}" for c in own]
+            rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*paths)
+            numbers = F.create_map(*[F.lit(x) for c in own for x in (c["id"], c["number"])])
+            return rows.withColumn(BATCH, numbers[F.col(BATCH)])
 
-        frames = [read(columns, numbers) for columns, numbers in by_columns.items()]
+        frames = [read(columns, own) for columns, own in by_columns.items()]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
     def read(self) -> DataFrame:
-        """Current rows. All rows a batch wrote for a key belong together.
+        """Current rows. All rows a batch wrote for a key belong together."""
+        commits = self._commits()
+        if not commits:
+            raise FileNotFoundError(f"no committed data in {self.path}")
+        return self._rows(commits)
+
+    def _rows(self, commits: list[dict]) -> DataFrame:
+        """Rows as of some commits.
 
         The base is unique by key and is only filtered by the keys appended since, which are
         few; the appends alone are aggregated.
         """
-        last, base, _ = self._last()
-        if last < 0:
-            raise FileNotFoundError(f"no committed data in {self.path}")
-        commits = self._commits().where(F.col("batch_id") >= base).orderBy("batch_id").collect()
-        loaded = self._batches([c for c in commits if c["batch_id"] == base])
-        appended = self._batches([c for c in commits if c["batch_id"] != base])
+        loaded = self._batches([c for c in commits if c["base"]])
+        appended = self._batches([c for c in commits if not c["base"]])
         if appended is None:
             current = loaded
         else:
@@ -148,3 +181,8 @@ class KeyedTable:
                 kept = missing_from(loaded, newest, self.keys)
                 current = kept.unionByName(current, allowMissingColumns=True)
         return current.where(~F.coalesce(F.col(DELETED), F.lit(False))).drop(DELETED, BATCH)
+
+
+def _last_batches(commits: list[dict]) -> dict:
+    """The last batch of every writer."""
+    return {writer: batch for c in commits for writer, batch in c["writers"].items()}

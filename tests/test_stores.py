@@ -63,6 +63,38 @@ def test_an_unfinished_append_is_not_read(table, rows, spark):
     assert values(table.read()) == [(1, "a"), (2, "b")]
 
 
+def test_interleaved_writers_lose_nothing(table, rows, spark):
+    other = KeyedTable(spark, table.path, "k")
+    table.replace(rows("k int, v string", (1, "a"), (2, "b")))
+    listed = other._names("commits")
+    table.upsert(rows("k int, v string", (2, "B")), "one", 0)
+    # The other writer has listed the commits before, so it tries a number that is taken.
+    other._names = lambda folder: listed if folder == "commits" else KeyedTable._names(other, folder)
+    other._append(rows("k int, v string", (3, "c")), {"base": False, "covers": None, "writers": {"two": 0}}, {})
+    assert values(table.read()) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_an_append_during_compaction_stays(table, rows, monkeypatch):
+    table.replace(rows("k int, v string", (1, "a")))
+    table.upsert(rows("k int, v string", (2, "b")), "job", 7)
+    before = table._commits()
+    table.upsert(rows("k int, v string", (1, "late")))
+    monkeypatch.setattr(table, "_commits", lambda: before)
+    table.compact()
+    monkeypatch.undo()
+    assert values(table.read()) == [(1, "late"), (2, "b")]
+    assert not table.upsert(rows("k int, v string", (2, "again")), "job", 7)
+
+
+def test_appends_are_folded_after_a_number(table, rows, monkeypatch):
+    monkeypatch.setattr("chartloom.sources.keyed.COMPACT_AFTER", 3)
+    for k in range(6):
+        table.upsert(rows("k int, v string", (k % 4, f"v{k}")), "job", k)
+    assert table._names("bases")
+    assert len(table._commits()) <= 4
+    assert values(table.read()) == [(0, "v4"), (1, "v5"), (2, "v2"), (3, "v3")]
+
+
 def test_documents_have_revisions(spark, rows, tmp_path):
     root = str(tmp_path / "docs")
     assert read_manifest(spark, root).count() == 0

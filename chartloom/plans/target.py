@@ -53,10 +53,14 @@ def as_json_columns(table: str, df: DataFrame) -> DataFrame:
     return df.withColumns({c: to_doc_json(c) for c in JSON_COLUMNS.get(table, {}) if c in df.columns})
 
 
-def document_id() -> Column:
-    """Key in the target: that of the document, and the number of a continuation part."""
+# Tables whose documents are named by a number of their own source table; several share one database.
+ID_PREFIX = {"patient": "patient_", "encounter": "encounter_"}
+
+
+def document_id(table: str = "") -> Column:
+    """Key in the target: that of the document behind the prefix of its table, and the number of a continuation part."""
     part = F.when(F.col("part") > 0, display(F.lit(""), "part", sep=PART_MARK)).otherwise(F.lit(""))
-    return F.concat(F.col("doc_id"), part)
+    return F.concat(F.lit(ID_PREFIX.get(table, "")), F.col("doc_id"), part)
 
 
 def recent(df: DataFrame, time: str, n: int = RECENT) -> DataFrame:
@@ -77,7 +81,7 @@ def to_target(table: str, df: DataFrame) -> DataFrame:
         for c, schema in JSON_COLUMNS.get(table, {}).items()
         if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)
     }
-    key = document_id() if "part" in df.columns else F.col("doc_id").cast("string")
+    key = document_id(table) if "part" in df.columns else F.concat(F.lit(ID_PREFIX.get(table, "")), F.col("doc_id").cast("string"))
     rows = rows.withColumns({**parsed, "_id": key}).drop("doc_id", "part")
     if table == "lab_orders":
         rows = rows.drop("str_id", "order_id")

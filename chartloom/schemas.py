@@ -25,7 +25,7 @@ ENCOUNTER_PROVIDERS = T.ArrayType(row_type(uuid="string", display="string", prov
 ORDERS = T.ArrayType(
     row_type(
         uuid="string",
-        orderNumber="int",
+        orderNumber="string",
         concept=UUID_DISPLAY,
         orderer=UUID_DISPLAY,
         action="string",

@@ -1,4 +1,4 @@
-"""Target document databases: JSON documents by ``_id`` with a revision.
+"""Target document databases: JSON documents by ``_id``.
 
 All databases below a root are one keyed table with the column ``db``, so that the documents of
 every location are written, or compared, by one job and not by a loop of jobs. The JSON text of a
@@ -28,16 +28,16 @@ def document_store(spark: SparkSession, root: str) -> KeyedTable:
 
 
 def stored_form(df: DataFrame) -> DataFrame:
-    """Key, next revision, manifest columns and JSON text of documents.
+    """Key, the revision of the target that a document replaces, manifest columns and JSON text of documents.
 
-    The revision is a counter one above the stored one, and a digest of the text.
+    Revisions are given by the target; they are carried, never made here.
     """
 
     def optional(name: str, kind: str):
         return (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
 
     body = to_doc_json(F.struct(*[c for c in df.columns if c not in (DB, "_rev", DELETED)]))
-    rows = df.select(
+    return df.select(
         DB,
         "_id",
         optional("_rev", "string"),
@@ -46,8 +46,20 @@ def stored_form(df: DataFrame) -> DataFrame:
         F.coalesce(optional(DELETED, "boolean"), F.lit(False)).alias(DELETED),
         body.alias(BODY),
     )
-    counter = F.coalesce(F.split_part("_rev", F.lit("-"), F.lit(1)).try_cast("int"), F.lit(0)) + 1
-    return rows.withColumn("_rev", F.concat_ws("-", counter.cast("string"), F.md5(BODY)))
+
+
+def write_bulk_files(df: DataFrame, path: str, bulk_size: int = 1_000_000) -> None:
+    """Documents as JSON lines in one folder per database, the form bulk loaders of document databases take.
+
+    A file holds at most ``bulk_size`` documents. Known revisions go along, and removals are documents
+    with ``_deleted`` and no body.
+    """
+    own = [c for c in df.columns if c not in (DB, DELETED)]
+    gone = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in df.columns else F.lit(False)
+    kept = [c for c in ("_id", "_rev") if c in own]
+    line = F.when(gone, F.to_json(F.struct(*kept, F.lit(True).alias(DELETED)))).otherwise(to_doc_json(F.struct(*own)))
+    out = df.select(DB, line.alias("value")).hint("rebalance", F.col(DB))
+    out.write.partitionBy(DB).option("maxRecordsPerFile", bulk_size).text(path)
 
 
 def write_documents(
@@ -91,11 +103,6 @@ def read_documents(spark: SparkSession, root: str, schema: T.StructType, db: str
     return parsed.select(*kept, "__doc.*")
 
 
-def export_json(spark: SparkSession, root: str, db: str, path: str) -> None:
-    """One database as JSON lines, the form bulk loaders of document databases take."""
-    _stored(spark, root, db).select(BODY).write.text(path)
-
-
 def read_manifest(
     spark: SparkSession,
     root: str,

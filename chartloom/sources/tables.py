@@ -71,19 +71,6 @@ def stride_options(column: str, lower: int, upper: int, n: int, fetchsize: int)
     }
 
 
-def stride_index(column: ColumnOrName, lower: int, upper: int, n: int) -> Column:
-    """Which range of such a scan a row falls into.
-
-    The bounds set the stride and filter nothing: smaller values and NULL are in the first
-    range, larger ones in the last.
-    """
-    c = as_column(column).cast("bigint")
-    n = max(1, min(n, upper - lower))
-    stride = max(1, upper // n - lower // n)
-    index = F.call_function("div", c - lower, F.lit(stride))
-    return F.coalesce(F.least(F.greatest(index, F.lit(0)), F.lit(n - 1)), F.lit(0)).cast("int")
-
-
 def read_partitioned(
     spark: SparkSession,
     source: Source,

@@ -110,7 +110,7 @@ def test_json_drops_nulls_and_only_bad_fields(rows):
     assert values(df.select(to_doc_json(F.struct("a", "b")))) == [('{"a":1}',)]
     text = rows("t string", ('[{"uuid":"u","orderNumber":"ORD-1","urgency":"ROUTINE"}]',))
     order = text.select(parse_doc_json("t", schemas.ORDERS)[0].alias("o")).select("o.*").first()
-    assert (order.uuid, order.orderNumber, order.urgency) == ("u", None, "ROUTINE")
+    assert (order.uuid, order.orderNumber, order.urgency) == ("u", "ORD-1", "ROUTINE")
 
 
 def test_hiv_schema_is_complete():

@@ -71,7 +71,7 @@ def test_first_load_takes_those_seen_at_the_place(rows):
     members = rows("person_id int", (1,), (2,))
     assert values(initial_load("labs", staged, members, 7).select("_id")) == [("x1",), ("x2",)]
     patients = rows("doc_id string, person_id int, patient string", ("1", 1, "{}"), ("3", 3, "{}"))
-    assert values(initial_load("patient", patients, members, 7).select("_id")) == [("1",)]
+    assert values(initial_load("patient", patients, members, 7).select("_id")) == [("patient_1",)]
 
 
 def test_nights(spark, rows, tmp_path):
@@ -85,17 +85,17 @@ def test_nights(spark, rows, tmp_path):
         )
 
     def stored():
-        return {(r.db, r._id, r._rev[:1]) for r in read_manifest(spark, target).collect()}
+        return {(r.db, r._id, r.build_date) for r in read_manifest(spark, target).collect()}
 
     rebuild_all({"docs": lambda: docs(2, D1)}, staging)
     assert read_staging(spark, staging, "docs").count() == 12
     nightly_upsert(spark, staging, target, visits, day("2020-01-31"), ["docs"])
-    first = {("location-1", f"d{p}{s}", "1") for p in (1, 2, 4) for s in ("", "#1")}
-    first |= {("location-2", f"d3{s}", "1") for s in ("", "#1")}
+    first = {("location-1", f"d{p}{s}", D1) for p in (1, 2, 4) for s in ("", "#1")}
+    first |= {("location-2", f"d3{s}", D1) for s in ("", "#1")}
     assert stored() == first
     nightly_upsert(spark, staging, target, visits, day("2020-01-31"), ["docs"])
     assert stored() == first
     rebuild_all({"docs": lambda: docs(1, D2)}, staging)
     nightly_upsert(spark, staging, target, visits, day("2020-02-03"), ["docs"])
     nightly_delete(spark, target, visits, day("2020-02-03"), day("2020-01-31"))
-    assert stored() == {("location-1", "d2", "2"), ("location-1", "d4", "2"), ("location-1", "d5", "1")}
+    assert stored() == {("location-1", f"d{k}", D2) for k in (2, 4, 5)}

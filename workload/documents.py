@@ -177,7 +177,7 @@ def encounter_doc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {SQL} SELECT doc_id AS _id, person_id, encounter_datetime, visit_display, n_providers, n_orders, n_obs FROM encounter_docs
+    f"""WITH {SQL} SELECT 'encounter_' || doc_id AS _id, person_id, encounter_datetime, visit_display, n_providers, n_orders, n_obs FROM encounter_docs
         QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY encounter_datetime DESC, encounter_id DESC) <= 10"""
 )
 def doc_for_target(spark: SparkSession, sf: str) -> DataFrame:

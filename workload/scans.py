@@ -30,7 +30,6 @@ from chartloom.sources.tables import (
     read_partitioned,
     read_table,
     scan_by_keys as scan_keys,
-    stride_index,
 )
 from workload.registry import query
 from workload.standin import load
@@ -45,13 +44,11 @@ def scan_project(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(least(greatest((l_orderkey - 1000) // 6188, 0), 15) AS INTEGER) AS stride, count(*) AS n,
-              min(l_orderkey) AS low, max(l_orderkey) AS high
-       FROM lineitem GROUP BY 1"""
+    """SELECT l_returnflag, count(*) AS n, min(l_orderkey) AS low, max(l_orderkey) AS high FROM lineitem GROUP BY 1"""
 )
 def scan_partitioned(spark: SparkSession, sf: str) -> DataFrame:
     lines = read_partitioned(spark, ParquetTables(sf), "lineitem", "l_orderkey", 1000, 100_000, 16)
-    return lines.groupBy(stride_index("l_orderkey", 1000, 100_000, 16).alias("stride")).agg(
+    return lines.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")
     )
 

@@ -63,27 +63,19 @@ LAST = "QUALIFY row_number() OVER (PARTITION BY user_id, encounter_id ORDER BY e
 
 @query(
     """SELECT event_id AS position, 'clinic.' || CASE event_type WHEN 'signup' THEN 'person' ELSE 'vitals' END || '.Envelope' AS source,
-              user_id AS person_id, value AS weight, event_type = 'error' AS removed
+              CASE WHEN event_type <> 'error' THEN user_id END AS person_id, CASE WHEN event_type <> 'error' THEN value END AS weight,
+              event_type = 'error' AS removed
        FROM events WHERE value <= 100"""
 )
 def cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
     events = decode(vitals_changes(spark, sf), schemas.VITALS_CHANGE).where(F.col(POSITION).isNotNull())
-    rows = events.select(
+    return events.select(
         F.col(POSITION).alias("position"),
         F.col(SOURCE).alias("source"),
         F.col("after.person_id").cast("bigint").alias("person_id"),
         F.col("after.weight").cast("double").alias("weight"),
         F.col("after").isNull().alias("removed"),
     )
-    # A delete names nobody; the oracle takes its row from the event it was made of.
-    made = load(spark, sf, "events").select(F.col("event_id").alias("position"), "user_id", "value")
-    return rows.join(made, "position").select(
-        "position",
-        "source",
-        F.coalesce("person_id", "user_id").alias("person_id"),
-        F.coalesce("weight", "value").alias("weight"),
-        "removed",
-    )
 
 
 @query(

@@ -195,18 +195,19 @@ def staging_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
-ORDER_DOC = row_type(_id="string", _rev="string", person_id="bigint", build_date="timestamp")
+ORDER_DOC = row_type(_id="string", _rev="string", person_id="bigint", build_date="timestamp", rewritten="boolean")
 
 
 @query(
     """SELECT 'order-' || o_orderkey AS _id, o_custkey AS person_id, o_orderdate AS build_date,
-              CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS revision
+              '1-' || o_custkey AS revision, o_orderpriority = '1-URGENT' AS rewritten
        FROM orders WHERE o_orderpriority <> '5-LOW'"""
 )
 def doc_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Write a database, write some documents again, remove others."""
     root = work_dir(spark, "documents")
-    docs = order_docs(spark, sf).withColumnRenamed("doc_id", "_id")
+    given = F.concat(F.lit("1-"), F.col("person_id").cast("string"))
+    docs = order_docs(spark, sf).withColumnRenamed("doc_id", "_id").withColumns({"_rev": given, "rewritten": F.lit(False)})
     orders = load(spark, sf, "orders")
 
     def ids(condition: str) -> DataFrame:
@@ -214,7 +215,8 @@ def doc_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
     write_documents(docs, root, "clinic", bulk_size=5_000)
     stored = read_manifest(spark, root, "clinic", ["_id", "_rev"])
-    write_documents(restrict_to(attach_rev(docs, stored), ids("o_orderpriority = '1-URGENT'"), "_id"), root, "clinic")
+    again = restrict_to(attach_rev(docs, stored), ids("o_orderpriority = '1-URGENT'"), "_id").withColumn("rewritten", F.lit(True))
+    write_documents(again, root, "clinic")
     stored = read_manifest(spark, root, "clinic", ["_id", "_rev"])
     removed = restrict_to(stored, ids("o_orderpriority = '5-LOW'"), "_id").withColumn("_deleted", F.lit(True))
     write_documents(removed, root, "clinic")
@@ -222,7 +224,8 @@ def doc_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         "_id",
         "person_id",
         F.col("build_date").cast("timestamp_ntz").alias("build_date"),
-        F.split_part("_rev", F.lit("-"), F.lit(1)).cast("int").alias("revision"),
+        F.col("_rev").alias("revision"),
+        "rewritten",
     )
 
 

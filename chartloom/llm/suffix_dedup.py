@@ -190,6 +190,16 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _dealt(source: DataFrame, many: DataFrame, crowd: int) -> DataFrame:
+    """Windows of crowded marks, one by one, by a hash of their bytes; those that occur once are left out."""
+    hashes = written(repeats.with_text(source, many, ["mark", "piece", "first", "size"]).mapInArrow(_hashes, "hash long, mark long, piece long, step int"), "hashes")
+    often = hashes.groupBy("hash").agg(F.count("*").alias("windows")).where("windows > 1")
+    # Windows of a hash that is itself crowded go to several tasks, with many of them in each.
+    part = F.when(F.col("windows") > crowd, F.pmod(F.xxhash64("mark", "piece", "step"), F.ceil(F.col("windows") * 2 / crowd))).otherwise(F.lit(0))
+    single = hashes.join(often, "hash").select("mark", "piece", "step", F.xxhash64("hash", part).alias("route")).join(many.drop("size", "others"), ["mark", "piece"])
+    return single.withColumn("size", F.lit(1))
+
+
 def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes); ``keep`` is "first" or "none"."""
     if keep not in ("first", "none"):
@@ -209,13 +219,10 @@ def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id",
     plain = head.where(F.col("others") <= crowd).withColumns({"route": F.col("mark"), "step": F.lit(0)})
     many = head.where(F.col("others") > crowd)
     columns = ["route", "mark", "piece", "doc", "first", "step", "size", "n"]
-    hashes = written(repeats.with_text(source, many, ["mark", "piece", "first", "size"]).mapInArrow(_hashes, "hash long, mark long, piece long, step int"), "hashes")
-    often = hashes.groupBy("hash").agg(F.count("*").alias("windows")).where("windows > 1")
-    # Windows of a hash that is itself crowded go to several tasks, with many of them in each.
-    part = F.when(F.col("windows") > crowd, F.pmod(F.xxhash64("mark", "piece", "step"), F.ceil(F.col("windows") * 2 / crowd))).otherwise(F.lit(0))
-    single = hashes.join(often, "hash").select("mark", "piece", "step", F.xxhash64("hash", part).alias("route")).join(many.drop("size", "others"), ["mark", "piece"])
-    single = single.withColumn("size", F.lit(1))
-    cut = repeats.with_text(source, plain.select("version", *columns).unionByName(single.select("version", *columns)), columns)
+    wanted = plain.select("version", *columns)
+    if not many.isEmpty():
+        wanted = wanted.unionByName(_dealt(source, many, crowd).select("version", *columns))
+    cut = repeats.with_text(source, wanted, columns)
     routed = cut.mapInArrow(_cut, _CUT).repartition("route").sortWithinPartitions("route")
     between = routed.mapInArrow(_sorter(keep), "mark long, piece long, n long, from int, to int")
     if keep == "none":

@@ -1,9 +1,10 @@
 """Folding rows into one row per key: representatives and nested arrays.
 
 A group may hold a large part of the table. Representatives are plain aggregates that shrink on
-the map side. Arrays grow with the group, so a group above ``part_rows`` elements is written as
-several rows: part 0 carries the representatives, every further part a bounded share of one array.
-Nothing is dropped, and no task ever holds such a group.
+the map side. Arrays grow with the group, so each array is dealt over rows by one rule for groups of
+any size: the element of rank r (from 0) in the declared order is in part ``r div part_rows``. Part 0
+always exists and carries the representatives, which further parts repeat. Nothing is dropped. Ranks of large groups
+come from counts by ranges of the order, so no task holds such a group unless it is alike in its order.
 """
 
 from __future__ import annotations
@@ -13,12 +14,20 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartloom.columns import ColumnOrName, as_column, as_list, fields_struct
 from chartloom.session import written
 
 PART_ROWS = 10_000
+WHOLE = {"whole": True}
+
+
+def is_whole(df: DataFrame) -> bool:
+    """Whether all rows of a frame are known to be main rows."""
+    return df.schema["part"].metadata == WHOLE
 
 
 @dataclass(frozen=True)
@@ -122,6 +131,19 @@ def _counted(df: DataFrame, keys: list[str], nested: Nested) -> DataFrame:
     return entries.groupBy(*keys, "__entry").agg(F.count(F.lit(1)).alias("__copies"))
 
 
+def _range(entry: Column, kind: T.DataType) -> Column:
+    """A coarse form of an entry that never decreases along its order."""
+    if isinstance(kind, T.StructType):
+        return _range(entry[kind.fields[0].name], kind.fields[0].dataType) if kind.fields else F.lit(0)
+    if isinstance(kind, T.StringType):
+        return F.substring(entry, 1, 8)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.to_date(entry)
+    if isinstance(kind, T.NumericType):
+        return F.floor(entry / 64)
+    return F.lit(0)
+
+
 def _large_arrays(
     df: DataFrame, keys: list[str], arrays: Sequence[Nested], part_rows: int
 ) -> DataFrame | None:
@@ -145,29 +167,23 @@ def _large_arrays(
     return None if is_empty(large) else large
 
 
-def _array_parts(
-    df: DataFrame, keys: list[str], nested: Nested, sizes: DataFrame, part_rows: int
-) -> DataFrame:
-    """One array of large groups in parts of about ``part_rows`` elements.
-
-    Every distinct element goes to the part its hash names; a pile of copies of one element is
-    dealt out over consecutive parts.
-    """
-    piles = (
-        _counted(df, keys, nested)
-        .withColumn("__pile", F.explode(F.sequence(F.lit(0), F.expr(f"int((__copies - 1) div {part_rows})"))))
-        .withColumn(
-            "__copies",
-            F.least(F.col("__copies") - F.col("__pile") * part_rows, F.lit(part_rows)).cast("int"),
-        )
-    )
-    parts = F.coalesce(F.expr(f"(__size + {part_rows - 1}) div {part_rows}"), F.lit(1))
-    placed = _with_keys(piles, sizes, keys, "left").withColumn(
-        "__slot", F.pmod(F.xxhash64("__entry") + F.col("__pile"), parts)
-    )
-    piece = F.sort_array(F.collect_list(F.struct("__entry", "__copies")))
-    flat = F.flatten(F.transform(piece, lambda x: F.array_repeat(x["__entry"]["e"], x["__copies"])))
-    return placed.groupBy(*keys, "__slot").agg(flat.alias(nested.name))
+def _array_parts(df: DataFrame, keys: list[str], nested: Nested, part_rows: int) -> DataFrame:
+    """One array of large groups by part: elements are ranked by counts of ranges of the order and within their range."""
+    piles = _counted(df, keys, nested)
+    piles = piles.withColumn("__range", _range(F.col("__entry"), piles.schema["__entry"].dataType))
+    by_range = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = piles.groupBy(*keys, "__range").agg(F.sum("__copies").alias("__n"))
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(by_range), F.lit(0))).drop("__n")
+    placed = _with_keys(piles, counts, [*keys, "__range"], "left")
+    within = Window.partitionBy(*keys, "__range").orderBy("__entry").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.col("__before") + F.coalesce(F.sum("__copies").over(within), F.lit(0))
+    first, last = F.expr(f"__rank div {part_rows}"), F.expr(f"(__rank + __copies - 1) div {part_rows}")
+    dealt = placed.withColumn("__rank", rank).withColumn("part", F.explode(F.sequence(first, last)))
+    begin = F.greatest(F.col("__rank"), F.col("part") * part_rows)
+    end = F.least(F.col("__rank") + F.col("__copies"), (F.col("part") + 1) * part_rows)
+    piece = F.sort_array(F.collect_list(F.struct("__entry", (end - begin).cast("int").alias("n"))))
+    flat = F.flatten(F.transform(piece, lambda x: F.array_repeat(x["__entry"]["e"], x["n"])))
+    return dealt.groupBy(*keys, F.col("part").cast("int").alias("part")).agg(flat.alias(nested.name))
 
 
 def nest(
@@ -181,9 +197,10 @@ def nest(
 ) -> DataFrame:
     """One row per key with its nested arrays and the columns ``firsts`` of its first row.
 
-    The result has a column ``part``: 0 for the main row; groups with an array above ``part_rows``
-    elements have their arrays in the parts 1, 2, … instead. Whether there are any is asked of the
-    key columns before the plan is made, so that the usual plan stays a single aggregation.
+    The result has a column ``part``: the element of rank r of an array is in part ``r div part_rows``, so
+    small groups are one row. Whether there are large ones is asked of the key columns before the plan is
+    made, so that the usual plan stays a single aggregation; the rows that come out are the same.
+    A result of main rows only says so in the metadata of ``part`` (``is_whole``).
     ``at_most`` is a frame with no fewer rows per key that is cheaper to ask, such as the table
     before its joins.
     """
@@ -196,7 +213,7 @@ def nest(
         return (
             rows.groupBy(*names)
             .agg(*first_cols, *[_collected(a) for a in arrays])
-            .select(*names, *head_cols, *array_names, F.lit(0).alias("part"))
+            .select(*names, *head_cols, *array_names, F.lit(0).alias("part", metadata=WHOLE))
         )
 
     if is_empty(_crowded(df if at_most is None else at_most, names, part_rows)):
@@ -211,24 +228,22 @@ def nest(
     usual = whole(_with_keys(df, large, names, "left_anti"))
     rows = _with_keys(df, large, names, "left_semi")
     types = {f.name: f.dataType for f in usual.schema.fields}
-
-    def with_empty(frame: DataFrame, filled: str | None) -> DataFrame:
-        missing = {a: F.array().cast(types[a]) for a in array_names if a != filled}
-        return frame.withColumns(missing) if missing else frame
-
     if firsts:
         heads = written(rows.groupBy(*names).agg(*first_cols).select(*names, *head_cols), "group-heads")
     else:
         heads = large
-    result = usual.unionByName(with_empty(heads, None).withColumn("part", F.lit(0)))
-    for i, a in enumerate(arrays):
-        number = (F.col("__slot") * len(arrays) + (i + 1)).cast("int")
-        of_array = sizes.where(F.col("__array") == i).drop("__array")
-        pieces = _array_parts(rows, names, a, of_array, part_rows).withColumn("part", number).drop("__slot")
-        if firsts:
-            pieces = _with_keys(pieces, heads, names, "left")
-        result = result.unionByName(with_empty(pieces, a.name))
-    return result
+    pieces = [written(_array_parts(rows, names, a, part_rows), "array-parts") for a in arrays]
+    spine = heads.select(*names, F.lit(0).alias("part"))
+    for piece in pieces:
+        spine = spine.unionByName(piece.select(*names, "part"))
+    joined = spine.distinct()
+    for piece in pieces:
+        joined = _with_keys(joined, piece, [*names, "part"], "left")
+    joined = joined.withColumns({a: F.coalesce(a, F.array().cast(types[a])) for a in array_names})
+    if firsts:
+        joined = _with_keys(joined, heads, names, "left")
+    usual = usual.withColumn("part", F.lit(0).alias("part", metadata={}))
+    return usual.unionByName(joined.select(*usual.columns))
 
 
 def nest_set(

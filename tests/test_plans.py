@@ -62,7 +62,7 @@ def test_large_observation_group_is_whole(clinic):
     more = copies(clinic["obs"].where("obs_id = 6"), 50)
     t = {**clinic, "obs": clinic["obs"].unionByName(more)}
     got = obs_of(t, part_rows=5).where("obs_id = 5").collect()
-    assert len(got) > 8 and all(len(r.groupmembers) <= 15 for r in got)
+    assert len(got) == 11 and all(len(r.groupmembers) <= 5 for r in got)
     assert sorted(m.uuid for r in got for m in r.groupmembers) == sorted(["b6", "b7", "b9", *[f"m{i}" for i in range(50)]])
     assert len({r.part for r in got}) == len(got) and {r.encounter_id for r in got} == {1}
 
@@ -99,6 +99,18 @@ def test_large_encounter_is_whole(clinic):
     assert whole[1] == 2 and parts[1] > 8
 
 
+def test_a_split_group_is_one_observation_of_its_encounter(clinic):
+    more = copies(clinic["obs"].where("obs_id = 6"), 50)
+    t = {**clinic, "obs": clinic["obs"].unionByName(more)}
+    found = encounter_documents(t, obs_of(t, part_rows=5), part_rows=5).where("encounter_id = 1").collect()
+    rows_ = sorted(found, key=lambda r: r.part)
+    assert [r.part for r in rows_] == list(range(len(rows_)))
+    assert all(len({x.uuid for x in r.obs}) == len(r.obs) for r in rows_)
+    members = [m["uuid"] for r in rows_ for x in r.obs if x.uuid == "b5" for m in json.loads(x.groupMembers)]
+    assert members == sorted(["b6", "b7", "b9", *[f"m{i}" for i in range(50)]])
+    assert [x.uuid for r in rows_[:2] for x in r.obs] == ["b12", "b1", "b2", "b3", "b4", "b5"]
+
+
 def test_target_form_and_recent_documents(clinic):
     docs = encounter_documents(clinic, obs_of(clinic), F.lit("now"))
     numbered = docs.where("encounter_id = 1").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(14))))

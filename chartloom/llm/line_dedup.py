@@ -39,6 +39,8 @@ def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
     """The frame with ``__parts``: the chunks of ``text`` in order, as ``body`` and ``n_lines``; null if the text is.
 
     Each step is a column of its own that the next one reads more than once, so arrays are made once per row.
+    A one-row generator comes last: filters on what follows are not moved below it, where they would
+    repeat all steps.
     """
     columns = docs.columns
     keep = [F.col(f"`{c}`") for c in columns]
@@ -52,7 +54,8 @@ def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
     ends = chosen.select(*keep, "__lines", F.array_union(marked, F.array(F.size("__chosen"))).alias("__ends"))
     part = lambda before, e: F.struct(F.array_join(F.slice("__lines", before + 1, e - before), "\n").alias("body"), (e - before).alias("n_lines"))
     parts = F.zip_with(_previous("__ends", F.lit(0)), "__ends", part)
-    return ends.select(*keep, F.when(F.col("__lines").isNotNull(), parts).alias("__parts"))
+    made = F.struct(F.when(F.col("__lines").isNotNull(), parts).alias("__parts"))
+    return ends.select(*keep, F.inline_outer(F.array(made)))
 
 
 def _worth(body: str = "body") -> Column:
@@ -84,7 +87,8 @@ def _thinned(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     left = F.array_join(F.transform(inside(False), lambda p: p["body"]), "\n")
     removed = F.aggregate(inside(True), F.lit(0), lambda total, p: total + p["n_lines"])
     has = F.col("__chunks").isNotNull()
-    return cut.withColumns({"__gone": F.when(has, removed), "__left": F.when(has, left).otherwise(F.col(text))})
+    made = F.struct(F.when(has, removed).alias("__gone"), F.when(has, left).otherwise(F.col(text)).alias("__left"))
+    return cut.select(*[F.col(f"`{c}`") for c in cut.columns], F.inline_outer(F.array(made)))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,10 +5,11 @@ point. Two sets share at most the sum of the smaller of each pair of coordinates
 below a tree node whose largest coordinates are taken instead; branches and points whose bound is too
 small for the similarity are skipped, as are pairs whose bound in more groups is; the others are verified on the sets.
 
-Trees are built where similar sets can be. If the similarity of two sets is at least t, they differ in
+Trees are built where similar sets can be (a bucket of more than ``BUCKET`` sets makes one cluster without a tree). If the similarity of two sets is at least t, they differ in
 at most a share (1 - t) / t of the smaller one; so when shingles are dealt to more parts than that, one
-part of both is the same. Texts with an equal part are candidates, and connected candidates make a
-cluster, which gets a tree. Which numbers of parts a text uses depends on its size alone, so that
+part of both is the same. Texts with an equal part make a bucket, whose tree tells which of
+them the bound allows to be similar; those that this connects make a cluster. In a cluster, pairs that its
+tree lets pass are verified. Which numbers of parts a text uses depends on its size alone, so that
 similar sizes meet; a text whose shingles fill too few of the parts also uses the next finer number.
 
 Only connectivity is asked for: within a tree, pairs that are connected already are not verified. Equal
@@ -36,10 +37,11 @@ from chartloom.llm.rows import LAST_ID, keyed
 from chartloom.llm.texts import LOWER, Piece, byte_sums, mix, pieces, signed, span_hash, words
 from chartloom.session import written
 
-DIMENSIONS = 32
+DIMENSIONS = 128
 FINE = 1024
 LEAF = 16
 CROWD = 1000
+BUCKET = 4096
 GROWTH = 1.5  # of sizes from one number of parts to the next
 
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -118,7 +120,8 @@ class Tree:
     """An R-tree over count vectors, packed by halving along the widest coordinate."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
+        # A count of 65,535 may be a larger one that was cut, so it bounds nothing.
+        self.points, self.sizes = np.where(points >= 65535, 1 << 40, points), sizes
         self.nodes: list[tuple[np.ndarray, int, int, np.ndarray | tuple[int, int]]] = []
         self.root = self._pack(np.arange(len(points))) if len(points) else -1
 
@@ -136,6 +139,7 @@ class Tree:
 
     def near(self, point: np.ndarray, size: int, t: float) -> np.ndarray:
         """Rows whose bound allows the similarity."""
+        point = np.where(point >= 65535, 1 << 40, point)
         out, todo = [], [self.root] if self.root >= 0 else []
         while todo:
             high, low, large, below = self.nodes[todo.pop()]
@@ -189,8 +193,14 @@ def _sets(size: int):
             own = shingle_sets(piece, size)
             columns = [piece.batch.column(c) for c in ("doc_id", "id", "version")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([len(s) for s in own], pa.int64()), pa.array([_name(s) for s in own], pa.int64())],
-                ["doc_id", "id", "version", "n_shingles", "name"],
+                [
+                    *columns,
+                    pa.array([len(s) for s in own], pa.int64()),
+                    pa.array([_name(s) for s in own], pa.int64()),
+                    # The largest count of 16 bits stands for all from there on, see Tree.
+                    pa.array([np.minimum(counts(s), 65535).astype(np.uint16).tobytes() for s in own], pa.binary()),
+                ],
+                ["doc_id", "id", "version", "n_shingles", "name", "counts"],
             )
 
     return run
@@ -214,21 +224,83 @@ def _parts(size: int, t: float):
     return run
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each name to the least one with the same part; rows come sorted by part and name."""
-    part, low = None, 0
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Names that share a part, by bucket; equal groups of names have one bucket. Rows come sorted by part and name.
+
+    A group of more than ``BUCKET`` names is not held: its names are linked to the least one instead, without a bucket.
+    """
+    part, low = None, None  # of a group that goes on from batch to batch as links
+    parts, names = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        parts, names = (batch.column(c).to_numpy() for c in ("part", "name"))
+        parts = np.concatenate([parts, batch.column("part").to_numpy()])
+        names = np.concatenate([names, batch.column("name").to_numpy()])
+        if low is not None:
+            own = int(np.searchsorted(parts != part, True)) if parts[-1] != part else len(parts)
+            yield _bucket_rows(_NO, names[:own], np.full(own, low))
+            parts, names = parts[own:], names[own:]
+            low = low if not len(parts) else None
         if not len(parts):
             continue
-        new = np.ones(len(parts), bool)
-        new[1:] = parts[1:] != parts[:-1]
-        new[0] = parts[0] != part
-        begin = np.maximum.accumulate(np.where(new, np.arange(len(parts)), -1))
-        lows = np.where(begin >= 0, names[begin], low)
-        part, low = parts[-1], lows[-1]
-        link = np.unique(np.stack([names, lows])[:, names != lows], axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(link[0]), pa.array(link[1])], ["a", "b"])
+        begin = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+        yield _grouped(names[: begin[-1]], begin[:-1])
+        parts, names = parts[begin[-1] :], names[begin[-1] :]
+        if len(names) > BUCKET:
+            part, low = parts[0], names[0]
+            yield _bucket_rows(_NO, names[1:], np.full(len(names) - 1, low))
+            parts, names = parts[:0], names[:0]
+    yield _grouped(names, np.zeros(min(len(names), 1), np.int64))
+
+
+def _grouped(names: np.ndarray, begin: np.ndarray) -> pa.RecordBatch:
+    """Rows of whole groups of at least two names."""
+    if not len(begin):
+        return _bucket_rows(_NO, _NO, _NO)
+    size = np.diff(np.append(begin, len(names)))
+    bucket = mix(np.add.reduceat(mix(names.view(np.uint64)), begin)).view(np.int64)
+    large = np.repeat(size > BUCKET, size)
+    kept = np.repeat(size > 1, size) & ~large
+    rows = np.unique(np.stack([np.repeat(bucket, size)[kept], names[kept]]), axis=1)
+    first = np.repeat(names[begin], size)
+    return _bucket_rows(rows[0], np.concatenate([rows[1], names[large]]), np.concatenate([np.zeros(rows.shape[1], np.int64), first[large]]))
+
+
+def _bucket_rows(bucket: np.ndarray, names: np.ndarray, low: np.ndarray) -> pa.RecordBatch:
+    empty = len(names) - len(bucket)
+    mask = np.arange(len(names)) >= len(bucket)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([bucket, np.zeros(empty, np.int64)]), mask=mask), pa.array(names), pa.array(low)], ["bucket", "name", "low"]
+    )
+
+
+_NO = np.zeros(0, np.int64)
+
+
+def _near(t: float):
+    """Links of names of a bucket that the bound on their counts allows, as few as keep them connected."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: list[tuple[int, int]] = []
+        for rows in _groups(batches, "bucket", ["name", "n_shingles", "counts"]):
+            sizes = np.array([r[1] for r in rows])
+            points = np.array([np.frombuffer(r[2], np.uint16) for r in rows]).astype(np.int64)
+            head = np.arange(len(rows))
+            tree = Tree(points, sizes)
+            for k in range(1, len(rows)):
+                near = tree.near(points[k], int(sizes[k]), t)
+                for other in near[(near < k) & (head[near] != head[k])].tolist():
+                    if head[other] != head[k]:
+                        links.append((rows[k][0], rows[other][0]))
+                        head[head == max(head[k], head[other])] = min(head[k], head[other])
+            if len(links) > 10_000:
+                yield _links(links)
+                links = []
+        yield _links(links)
+
+    return run
+
+
+def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
 
 def _with_sets(size: int, carried: list[str]):
@@ -284,9 +356,9 @@ def _hubs(t: tuple[int, int]):
 
 
 def sets_of(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, id, version, n_shingles, name`` of every row: the id without nulls, a hash of the text, and the name of its set."""
+    """``doc_id, id, version, n_shingles, name, counts`` of every row: the id without nulls, a hash of the text, the name of its set, its point."""
     source = keyed(docs, doc_id, text).withColumnRenamed("doc", "id")
-    return source.mapInArrow(_sets(size), "doc_id long, id long, version long, n_shingles long, name long")
+    return source.mapInArrow(_sets(size), "doc_id long, id long, version long, n_shingles long, name long, counts binary")
 
 
 def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
@@ -295,8 +367,11 @@ def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", tex
     source = keyed(docs, doc_id, text).withColumnRenamed("doc", "id").select("id", "version", "text")
     rows = written(sets_of(docs, size, doc_id, text), "sets")
     parts = source.select("text").mapInArrow(_parts(size, t), "part long, name long")
-    stars = parts.repartition("part").sortWithinPartitions("part", "name").mapInArrow(_stars, "a long, b long")
-    cluster = components(stars)
+    shared = written(parts.repartition("part").sortWithinPartitions("part", "name").mapInArrow(_buckets, "bucket long, name long, low long"), "buckets")
+    points = rows.select("name", "n_shingles", "counts").dropDuplicates(["name"])
+    meeting = shared.where("bucket IS NOT NULL").select("bucket", "name").distinct().join(points, "name")
+    near = meeting.repartition("bucket").sortWithinPartitions("bucket", "name").mapInArrow(_near(t), "a long, b long")
+    cluster = components(near.unionByName(shared.where("bucket IS NULL AND name <> low").select(F.col("name").alias("a"), F.col("low").alias("b"))))
     cluster = written(cluster.select(F.col("id").alias("name"), F.col("component").alias("cluster")).unionByName(cluster.select(F.col("component").alias("name"), F.col("component").alias("cluster")).distinct()), "clusters")
     size_of = cluster.groupBy("cluster").agg(F.count("*").alias("members"))
     # One text for each set.
@@ -307,7 +382,7 @@ def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", tex
     small = own.where(F.col("members") <= crowd).select(F.col("cluster").alias("route"), "name", F.lit(True).alias("asks"), "shingles")
     links = small.repartition("route").sortWithinPartitions("route", "name").mapInArrow(_clusters(exact), "a long, b long")
     links = components(links.unionByName(_crowded(own.where(F.col("members") > crowd), exact, crowd)))
-    return rows.join(links.withColumnRenamed("id", "name"), "name", "left").withColumn(
+    return rows.drop("counts").join(links.withColumnRenamed("id", "name"), "name", "left").withColumn(
         "set_group", F.when(F.col("n_shingles") > 0, F.coalesce("component", "name"))
     ).drop("component")
 

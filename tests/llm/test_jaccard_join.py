@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from chartloom.llm import jaccard_join as jj
@@ -77,3 +78,25 @@ def test_representatives(documents):
 
 def test_empty_table(documents):
     assert jj.link(documents((1, "x")).limit(0), 3, 90).collect() == []
+
+
+def test_buckets_over_batches(monkeypatch):
+    """Groups that go over several batches, some beyond the limit: every pair of names with one part stays connected."""
+    rng = np.random.default_rng(1)
+    for limit in (2, 5, 100):
+        monkeypatch.setattr(jj, "BUCKET", limit)
+        rows = np.unique(rng.integers(0, [12, 60], (150, 2)), axis=0)
+        cuts = np.sort(rng.integers(0, len(rows), 6))
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["part", "name"]) for x in np.split(rows, cuts) if len(x)]
+        out = [r for b in jj._buckets(iter(batches)) for r in b.to_pylist()]
+        held = {}
+        for r in out:
+            if r["bucket"] is not None:
+                held.setdefault(r["bucket"], set()).add(r["name"])
+        stars = {(r["name"], r["low"]) for r in out if r["bucket"] is None}
+        for part in range(12):
+            names = set(rows[rows[:, 0] == part, 1].tolist())
+            if 1 < len(names) <= limit:
+                assert names in held.values() or all((n, min(names)) in stars for n in names - {min(names)})
+            elif len(names) > limit:
+                assert all((n, min(names)) in stars for n in names - {min(names)})

@@ -202,7 +202,7 @@ def stream_rebuild(spark: SparkSession, sf: str) -> DataFrame:
           recent AS (SELECT * FROM last QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) DESC, encounter_id DESC) <= 10),
           members AS (SELECT DISTINCT o_custkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE {DUE_TODAY})
         SELECT 'vitals_' || user_id || '_' || encounter_id AS _id, 'location-' || c_nationkey AS db, user_id AS person_id,
-               encounter_id, value AS weight, 1 AS revision
+               encounter_id, value AS weight
         FROM recent JOIN members ON o_custkey = user_id"""
 )
 def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,5 +212,4 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     staging = Staging(work_dir(spark, "staging"), "vitals")
     job = staged_then_sync(vitals_job(staging), staging, target, summary(spark, sf), lambda: day(TODAY))
     run_stream(vitals_stream(spark, inbox), job, work_dir(spark, "checkpoint"), None).awaitTermination()
-    revision = F.split_part("_rev", F.lit("-"), F.lit(1)).cast("int").alias("revision")
-    return read_documents(spark, target, VITALS_DOC).select("_id", "db", "person_id", "encounter_id", "weight", revision)
+    return read_documents(spark, target, VITALS_DOC).select("_id", "db", "person_id", "encounter_id", "weight")

@@ -20,6 +20,7 @@ from chartloom.plans.rebuild import initial_load, nightly_delete, nightly_upsert
 from chartloom.plans.summaries import vitals_documents
 from chartloom.session import work_dir
 from chartloom.sources.documents import read_documents, read_manifest, write_documents
+from chartloom.sources.keyed import KeyedTable
 from chartloom.sources.staging import read_staging, replace_staging, staging_table, upsert_staging
 from workload.documents import vitals
 from workload.registry import query
@@ -229,6 +230,22 @@ def doc_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'two' ELSE 'one' END AS writer, o_custkey AS v
+       FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0"""
+)
+def two_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """Two writers of one table that both look at the commits before either has committed; the later commit wins where both wrote."""
+    path = work_dir(spark, "table")
+    one, two = (KeyedTable(spark, path, "k") for _ in range(2))
+    rows = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
+    listed = one._names("commits")
+    two._names = lambda folder: listed if folder == "commits" else one._names(folder)
+    one.upsert(rows.where("k % 2 = 0").withColumn("writer", F.lit("one")), "one", 0)
+    two.upsert(rows.where("k % 3 = 0").withColumn("writer", F.lit("two")), "two", 0)
+    return one.read().select("k", "writer", "v")
+
+
 # -- whole jobs -------------------------------------------------------------------------------
 
 
@@ -264,15 +281,10 @@ VITALS_DOC = row_type(_id="string", _rev="string", person_id="bigint", encounter
 @query(
     f"""WITH today AS (
           SELECT DISTINCT o_custkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE {DUE_TODAY}),
-          yesterday AS (
-          SELECT DISTINCT o_custkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE {DUE_YESTERDAY}),
-          {RECENT_VITALS}, members AS (
-          SELECT *, 1 AS revision FROM today WHERE o_custkey NOT IN (SELECT o_custkey FROM yesterday)
-          UNION ALL
-          SELECT t.*, 2 FROM today t JOIN yesterday USING (o_custkey, c_nationkey))
+          {RECENT_VITALS}
         SELECT 'vitals_' || r.user_id || '_' || r.event_id AS _id, 'location-' || c_nationkey AS db,
-               r.user_id AS person_id, r.event_id AS encounter_id, value + 1 AS weight, revision
-        FROM members m JOIN recent r ON r.user_id = m.o_custkey JOIN events e ON e.event_id = r.event_id"""
+               r.user_id AS person_id, r.event_id AS encounter_id, value + 1 AS weight
+        FROM today m JOIN recent r ON r.user_id = m.o_custkey JOIN events e ON e.event_id = r.event_id"""
 )
 def nightly_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Two nights: yesterday's cohorts are stored, staging is rebuilt, today's are stored and leavers removed."""
@@ -287,5 +299,4 @@ def nightly_sync(spark: SparkSession, sf: str) -> DataFrame:
     rebuild_all({"vitals": lambda: rebuilt}, staging)
     nightly_upsert(spark, staging, target, visits, day(TODAY), ["vitals"])
     nightly_delete(spark, target, visits, day(TODAY), day(YESTERDAY))
-    revision = F.split_part("_rev", F.lit("-"), F.lit(1)).cast("int").alias("revision")
-    return read_documents(spark, target, VITALS_DOC).select("_id", "db", "person_id", "encounter_id", "weight", revision)
+    return read_documents(spark, target, VITALS_DOC).select("_id", "db", "person_id", "encounter_id", "weight")

@@ -117,6 +117,18 @@ def test_direct_stream_restarts_and_counts(spark, inbox, tmp_path):
     assert run("another-checkpoint") == want
 
 
+def test_a_new_checkpoint_is_a_new_writer(spark, inbox, tmp_path):
+    staging = Staging(str(tmp_path / "staging"), "vitals")
+    job = direct(staging, ["person_id", "encounter_id"], lambda rows: vitals_documents(parse_vitals(rows)))
+    for name in ("first", "second"):
+        folder = str(tmp_path / name)
+        weight = "70" if name == "first" else "71"
+        spark.createDataFrame([(vital(1, 2, weight, 1),)], "value string").coalesce(1).write.text(folder)
+        stream = after_image(read_file_changes(spark, folder), schemas.VITALS_CHANGE, "clinic.vitals.Envelope")
+        run_stream(stream, job, str(tmp_path / f"checkpoint-{name}"), None).awaitTermination()
+    assert {r.doc_id: r.weight for r in read_staging(spark, staging.root, "vitals").collect()} == {"vitals_1_2": 71.0}
+
+
 def encounter_event(ts, encounter_id=1, voided=0, **more):
     after = {
         "encounter_id": encounter_id,

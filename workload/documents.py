@@ -170,6 +170,17 @@ def flat_encounters(docs: DataFrame) -> DataFrame:
     )
 
 
+@query(f"WITH {SQL} SELECT * FROM encounter_docs")
+def encounter_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Encounters in parts of two elements of each array, put together again by part."""
+    tables = clinical(spark, sf)
+    parts = encounter_documents(tables, build_obs(tables), built_at(), part_rows=2)
+    arrays = ["encounterproviders", "orders", "obs"]
+    others = [F.min_by(c, "part").alias(c) for c in parts.columns if c not in (*arrays, "encounter_id", "part")]
+    whole = [F.flatten(F.sort_array(F.collect_list(F.struct("part", a))).getField(a)).alias(a) for a in arrays]
+    return flat_encounters(parts.groupBy("encounter_id").agg(*others, *whole))
+
+
 @query(f"WITH {SQL} SELECT * FROM encounter_docs")
 def encounter_doc(spark: SparkSession, sf: str) -> DataFrame:
     tables = clinical(spark, sf)

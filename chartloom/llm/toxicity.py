@@ -32,8 +32,8 @@ from chartloom.llm.rows import texts
 
 PER_LABEL = 5000
 SHORTEST, LONGEST = 4, 7  # letters of a word beginning
-TIMES = 4  # toxic texts that must have an entry
-ODDS = 2.5  # log odds from which an entry is an insult
+TIMES, SHARE = 4, 0.015  # toxic texts that must have an entry: a number, and a share of those learned from
+ODDS = 3.0  # log odds from which an entry is an insult
 ENTRIES = 20_000
 LEARN = 0.7  # share of the sample for the lexicon; the rest fits the curve
 SCOPE = 3
@@ -226,11 +226,13 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "doc
     rows = sample(docs, labels, training, doc_id, text, per_label)
     if rows is None:
         return Model({}, {})
-    learn = rows.where("learn").select("text", "toxic")
+    # Copies of a text say nothing new about its words.
+    learn = rows.where("learn").select("text", "toxic").distinct()
     sizes = dict(learn.groupBy("toxic").count().collect())
     counted = learn.mapInArrow(_entries, "entry string, toxic long").groupBy("entry").agg(F.sum("toxic").alias("p"), F.count("*").alias("n"))
-    frequent = counted.where(F.col("n") >= TIMES).withColumn("odds", F.log((F.col("p") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((F.col("n") - F.col("p") + 0.5) / (sizes.get(0, 0) + 1)))
-    marking = frequent.where((F.col("p") >= TIMES) & (F.col("odds") >= ODDS)).orderBy(F.desc("odds"), "entry").limit(ENTRIES)
+    times = max(TIMES, math.ceil(SHARE * sizes.get(1, 0)))
+    frequent = counted.where(F.col("n") >= times).withColumn("odds", F.log((F.col("p") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((F.col("n") - F.col("p") + 0.5) / (sizes.get(0, 0) + 1)))
+    marking = frequent.where((F.col("p") >= times) & (F.col("odds") >= ODDS)).orderBy(F.desc("odds"), "entry").limit(ENTRIES)
     found = [(r.entry, r.p, r.n) for r in marking.collect()]
     # Exceptions are only looked for below the entries found.
     heads = {e.removesuffix("*")[:SHORTEST] for e, _, _ in found if e.endswith("*")}

@@ -38,7 +38,8 @@ from chartloom.session import work_dir, written
 
 REVISIT_BYTES = 1000
 PACKAGE_BYTES = 128 << 20
-RANGE_BYTES = 8 << 20  # ranges that are read by one task, about
+RANGE_BYTES = 32 << 20  # of a package that are read by one task, about
+TASKS = 100_000  # at most
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -111,18 +112,18 @@ class Package:
         self.warc.write(packed)
         self.size += len(packed)
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.warc.close()
         lines = sorted(f"{_one_line(entry['url'] or '-').replace(' ', '%20')} {DATE[:10].replace('-', '')}000000 {json.dumps(entry)}" for entry in self.index)
         self.zip.writestr("indexes/index.cdxj", "\n".join(lines))
         self.zip.writestr("datapackage.json", json.dumps({"profile": "data-package", "wacz_version": "1.1.1", "resources": [{"path": "archive/data.warc.gz", "bytes": self.size}, {"path": "indexes/index.cdxj"}]}))
         self.zip.close()
         self.stream.close()
-        return self.path, len(self.index)
+        return self.path, len(self.index), self.size
 
 
 def write(records: DataFrame, root: str | None = None, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
-    """Packages of the rows of ``roles``, written now: ``path, records`` of each."""
+    """Packages of the rows of ``roles``, written now: ``path, records, bytes`` of each."""
     root = root or work_dir(records.sparkSession, "packages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +138,9 @@ def write(records: DataFrame, root: str | None = None, package_bytes: int = PACK
                     package = None
         if package:
             done.append(package.close())
-        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64())], ["path", "records"])
+        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), *(pa.array([d[c] for d in done], pa.int64()) for c in (1, 2))], ["path", "records", "bytes"])
 
-    return written(records.select("page_id", "url", "payload", "payload_digest", "refers_to").mapInArrow(run, "path string, records long"), "packages")
+    return written(records.select("page_id", "url", "payload", "payload_digest", "refers_to").mapInArrow(run, "path string, records long, bytes long"), "packages")
 
 
 # Reading
@@ -312,7 +313,10 @@ def read(packages: DataFrame, payloads: bool = True) -> DataFrame:
 
     kinds = {pa.int64(): "long", pa.string(): "string", pa.bool_(): "boolean", pa.binary(): "binary"}
     ranges = packages.select("path").mapInArrow(places, "path string, offset long, length long")
-    spread = ranges.withColumn("block", F.expr(f"offset div {RANGE_BYTES}")).repartition("path", "block").sortWithinPartitions("path", "offset")
+    # Rows are narrow and what they stand for is not, so their number is not left to the size of the rows.
+    total = packages.agg(F.sum("bytes")).first()[0] if "bytes" in packages.columns else None
+    tasks = min(TASKS, max(packages.sparkSession.sparkContext.defaultParallelism, (total or 0) // RANGE_BYTES))
+    spread = ranges.withColumn("block", F.expr(f"offset div {RANGE_BYTES // 8}")).repartition(tasks, "path", "block").sortWithinPartitions("path", "offset")
     return spread.mapInArrow(records, ", ".join(f"{n} {kinds[_FIELDS[n]]}" for n in names))
 
 

@@ -6,7 +6,7 @@ from clinic import tables
 from pyspark.sql import functions as F
 
 from chartloom import schemas
-from chartloom.plans.summaries import hiv_summary_documents, vitals_documents
+from chartloom.plans.summaries import hiv_summary_documents, labs_documents, vitals_documents
 from chartloom.sources.changes import POSITION, SOURCE, decode, read_file_changes, typed_rows
 from chartloom.sources.documents import read_manifest
 from chartloom.sources.staging import read_staging
@@ -175,6 +175,20 @@ def test_rebuild_functions_take_only_what_changed(spark, rows):
     assert [(r.encounter_id, r.location_id) for r in build(rows("encounter_id int", (2,))).collect()] == [(2, 3)]
 
 
+def test_streamed_labs_have_the_regimen_of_the_day(rows):
+    """The regimen in force may come from an encounter that is not in the batch."""
+    at = datetime(2020, 1, 1, 8)
+    labs = rows("person_id int, encounter_id int, test_datetime timestamp, uuid string", (1, 5, at, "u5"), (1, 4, at, "u4"), (2, 6, at, "u6"))
+    summary = rows(
+        "person_id int, encounter_id int, encounter_datetime timestamp, is_clinical_encounter int, cur_arv_meds string",
+        (1, 4, at, 1, "625"), (1, 5, at, 1, "628"), (2, 6, at, 1, "633"),
+    )
+    places = rows("encounter_id int, location_id int", (5, 1))
+    whole = {r.encounter_id: r.cur_arv_meds for r in labs_documents(labs, places, summary).collect()}
+    batch = labs_of(labs, places, summary)(rows("encounter_id int", (5,))).collect()
+    assert {r.encounter_id: r.cur_arv_meds for r in batch} == {5: whole[5]} and whole[5]
+
+
 def test_staged_then_synced(spark, rows, inbox, tmp_path):
     staging, target = Staging(str(tmp_path / "staging"), "vitals"), str(tmp_path / "target")
     visits = rows(

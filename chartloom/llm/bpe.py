@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from chartloom.llm.rows import texts
 
 # Entries of each worker's tables of words and pairs; a full table is emptied, which costs time only.
-TABLE = 600_000
+TABLE = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -195,6 +195,20 @@ class Tokenizer:
 
         return texts(docs, doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
+    def round_trip(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+        """``encode`` and ``decode`` by one worker for each task, which holds one vocabulary instead of two."""
+        shared, pattern = self.shared, self.pattern
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocabulary, split = _vocabulary(shared), splitter(pattern)
+            for batch in _small(batches):
+                found = [vocabulary.encode(split(t or "")) for t in batch.column("text").to_pylist()]
+                sizes = pa.array([len(x) // 4 for x in found], pa.int64())
+                decoded = pa.array([vocabulary.decode(x) for x in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, pa.array(found, pa.binary()), decoded], ["doc_id", "n_tokens", "ids", "decoded"])
+
+        return texts(docs, doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded binary")
+
     def decode(self, encoded: DataFrame) -> DataFrame:
         """The frame of ``encode`` with the bytes of the tokens in ``decoded``."""
         shared = self.shared

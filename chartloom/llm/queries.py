@@ -81,7 +81,6 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = tokenizer.encode(table(spark, sf_dir, "documents"))
-    return tokenizer.decode(encoded).select(
+    return tokenizer.round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -47,4 +47,5 @@ def test_frames(documents, spark, reference):
     assert sorted((str(r.doc_id), np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in got) == want
     assert sorted((str(r.doc_id), bytes(r.decoded)) for r in got) == sorted((str(i), (t or "").encode()) for i, t in rows)
     assert all(r.n_tokens * 4 == len(r.ids) for r in got)
+    assert sorted(map(repr, tokenizer.round_trip(documents(*rows)).collect())) == sorted(map(repr, got))
     assert tokenizer.encode(documents((1, "x")).limit(0)).collect() == []

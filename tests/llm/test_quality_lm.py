@@ -5,6 +5,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 
 from chartloom.llm import quality_lm
 from chartloom.llm.texts import pieces
@@ -82,3 +84,53 @@ def test_few_grams_are_kept_when_there_are_more(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert quality_lm.judge(docs).collect() == []
+
+
+def test_all_grams_are_scored_as_by_the_model_in_memory(spark):
+    rows = [(i, t, lang) for i, t, lang in corpus() if i != 105] + [(200, " a  b\tc ", "aa"), (201, "\u00e9", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = quality_lm.fit(docs)
+    number = {name: k for k, name in enumerate(model.languages)}
+    want = []
+    for i, text, lang in rows:
+        whole = b"".join(w.lower().encode() + b" " for w in WORD.findall((text or "").replace("\u00c9", "\u00e9")))
+        padded = b"\0" * 4 + whole
+        grams = np.array([number[lang] << 40 | int.from_bytes(padded[k : k + 5], "big") for k in range(len(whole))], np.uint64)
+        want.append((str(i), len(text or ""), -np.log(model.chance(grams)).mean() if len(grams) else None))
+    got = {(str(r.doc_id), r.n_words, r.word_chars): r.log_perplexity for r in quality_lm.measure(docs).collect()}
+    for (i, _, value), (_, text, _) in zip(want, rows):
+        ws = WORD.findall(text or "")
+        own = got[i, len(ws), sum(map(len, ws))]
+        assert own is None and value is None or math.isclose(own, value, rel_tol=1e-9)
+
+
+def test_grams_of_moved_documents_are_found_in_the_whole_table(tmp_path):
+    spare = [tmp_path / "a.parquet", tmp_path / "b.parquet"]
+    for k, path in enumerate(spare):
+        pq.write_table(pa.table({"gram": pa.array([2 + k, 10 + k], pa.int64()), "loss": [0.2 + k, 0.1 + k]}), path)
+    own = [(np.array([5, 7], np.uint64), np.array([0.5, 0.7]))]
+    assert quality_lm._losses(np.array([2, 5, 11], np.uint64), own, str(tmp_path)).tolist() == [0.2, 0.5, 1.1]
+    with pytest.raises(ValueError):
+        quality_lm._losses(np.array([99], np.uint64), own, str(tmp_path))
+
+
+def chains(rng, words, n):
+    """Words of several kinds in turn; those of a kind begin and end alike."""
+    return [rng.choice(words[k % len(words)]) for k in range(n)]
+
+
+def test_shuffled_words_and_garbled_texts_go(spark):
+    rng = random.Random(4)
+    words = [[a + "".join(rng.choice("aeiou") for _ in range(3)) + b for _ in range(30)] for a, b in ("bc", "df", "gh", "jk", "lm")]
+    docs = [(i, " ".join(chains(rng, words, rng.randint(150, 250))), "en") for i in range(150)]
+    salad = chains(rng, words, 200)
+    rng.shuffle(salad)
+    docs += [(500, " ".join(salad), "en"), (501, " ".join(w + rng.choice(["%%%", "***", "$$$"]) for w in chains(rng, words, 200)), "en")]
+    rows = {r.doc_id: r for r in quality_lm.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)).collect()}
+    fair = [r for i, r in rows.items() if i < 500 and not r.base_failed]
+    assert sum(r.kept for r in fair) > 0.95 * len(fair) > 0
+    for i in (500, 501):
+        assert rows[i].log_perplexity > max(r.log_perplexity for r in fair)
+        assert rows[i].base_failed or not rows[i].kept
+    assert not rows[501].base_failed
+    assert not rows[500].base_failed

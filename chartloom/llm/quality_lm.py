@@ -38,7 +38,7 @@ from chartloom.session import work_dir, written
 
 ORDER = 5
 HELD = 1_000_000  # different n-grams that a task gathers before it passes them on
-BELOW, ABOVE = 6.0, 6.0
+BELOW, ABOVE = 4.0, 3.5
 WIDTH = 0.02
 LEAST_ALIKE = 50  # documents of a language and size that have bands of their own
 LEAST_WORDS = 50

@@ -15,7 +15,8 @@ copies of each other; other columns are not read. Cut characters are not mended:
 
 Windows of one mark are sorted in one task. Equal stretches of text are one class and sorted once, so
 copies do not add to it; a mark of more than ``CROWD`` classes has its windows dealt out singly, by a
-hash of their bytes, after those that occur once are left out.
+hash of their bytes, after those that occur once are left out. If a window occurs in more than ``CROWD`` classes, its
+places go to several tasks, and the first place of all goes to each of them.
 """
 
 from __future__ import annotations
@@ -101,27 +102,34 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = piece.offsets[k]
             for w in wanted:
                 a = begin + w["first"] + w["step"]
-                rows.append((w["route"], w["mark"], w["piece"], w["doc"], w["first"], w["step"], w["n"], piece.data[a : a + w["size"] - 1 + LENGTH].tobytes()))
+                rows.append((w["route"], w["mark"], w["piece"], w["doc"], w["version"], w["first"], w["step"], w["n"], piece.data[a : a + w["size"] - 1 + LENGTH].tobytes()))
         columns = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.int32()), pa.array(columns[6], pa.int64()), pa.array(columns[7], pa.binary())],
-            ["route", "mark", "piece", "doc", "first", "step", "n", "bytes"],
+            [*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.int32()), pa.array(columns[7], pa.int64()), pa.array(columns[8], pa.binary())],
+            ["route", "mark", "piece", "doc", "version", "first", "step", "n", "bytes"],
         )
 
 
-_CUT = "route long, mark long, piece long, doc long, first long, step int, n long, bytes binary"
+_CUT = "route long, mark long, piece long, doc long, version long, first long, step int, n long, bytes binary"
 
 
-def _sorter(keep: str):
+def _sorter(keep: str, sorted_bytes: int):
     """Matches within each route; the rows of a route come one after another."""
 
     def matches(rows: list[tuple]) -> pa.RecordBatch:
-        mark, piece, doc, first, step, n, texts = (list(c) for c in zip(*[r[1:] for r in rows], strict=True))
+        mark, piece, doc, version, first, step, n, texts = (list(c) for c in zip(*[r[1:] for r in rows], strict=True))
         sizes = np.array([len(t) - LENGTH + 1 for t in texts])
         windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(t, np.uint8), LENGTH) for t in texts])
         owner = np.repeat(np.arange(len(rows)), sizes)
         inner = np.arange(len(windows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.array(step)[owner]
-        by_place = np.lexsort((inner + np.array(first)[owner], np.array(doc)[owner]))
+        keys = np.array([np.array(version)[owner], inner + np.array(first)[owner], np.array(doc)[owner]])
+        by_place = np.lexsort(keys)
+        # A window sent to several routes that are sorted together is one place.
+        again = (keys[:, by_place[1:]] == keys[:, by_place[:-1]]).all(axis=0)
+        if again.any():
+            once = np.sort(np.concatenate([by_place[:1], by_place[1:][~again]]))
+            windows, owner, inner = windows[once], owner[once], inner[once]
+            by_place = np.lexsort(keys[:, once])
         place = np.empty(len(windows), np.int64)
         place[by_place] = np.arange(len(windows))
         found = np.flatnonzero(repeated_windows(windows, place, keep))
@@ -145,8 +153,8 @@ def _sorter(keep: str):
         rows: list[tuple] = []
         held, route = 0, None
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("route", "mark", "piece", "doc", "first", "step", "n", "bytes")], strict=True):
-                if held > SORTED_BYTES and row[0] != route:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("route", "mark", "piece", "doc", "version", "first", "step", "n", "bytes")], strict=True):
+                if held > sorted_bytes and row[0] != route:
                     yield matches(rows)
                     rows, held = [], 0
                 route = row[0]
@@ -193,14 +201,26 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _dealt(source: DataFrame, many: DataFrame, crowd: int) -> DataFrame:
     """Windows of crowded marks, one by one, by a hash of their bytes; those that occur once are left out."""
     hashes = written(repeats.with_text(source, many, ["mark", "piece", "first", "size"]).mapInArrow(_hashes, "hash long, mark long, piece long, step int"), "hashes")
-    often = hashes.groupBy("hash").agg(F.count("*").alias("windows")).where("windows > 1")
+    often = written(hashes.groupBy("hash").agg(F.count("*").alias("windows")).where("windows > 1"), "often")
     # Windows of a hash that is itself crowded go to several tasks, with many of them in each.
-    part = F.when(F.col("windows") > crowd, F.pmod(F.xxhash64("mark", "piece", "step"), F.ceil(F.col("windows") * 2 / crowd))).otherwise(F.lit(0))
-    single = hashes.join(often, "hash").select("mark", "piece", "step", F.xxhash64("hash", part).alias("route")).join(many.drop("size", "others"), ["mark", "piece"])
-    return single.withColumn("size", F.lit(1))
+    parts = F.when(F.col("windows") > crowd, F.ceil(F.col("windows") * 2 / crowd)).otherwise(F.lit(1))
 
+    def placed(chosen: DataFrame) -> DataFrame:
+        found = hashes.join(chosen.withColumn("parts", parts), "hash").join(many.drop("size", "others"), ["mark", "piece"])
+        return found.withColumn("part", F.pmod(F.xxhash64("mark", "piece", "step"), F.col("parts")))
 
-def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+    columns = ["hash", "part", "mark", "piece", "step", "doc", "version", "first", "n"]
+    single = placed(often).select(*columns)
+    shared = often.where(F.col("windows") > crowd)
+    if not shared.isEmpty():
+        # The first place of all goes to the tasks that do not have it.
+        least = placed(shared).groupBy("hash", "parts").agg(F.min(F.struct("doc", (F.col("first") + F.col("step")).alias("place"), "version", "first", "step", "mark", "piece", "n", "part")).alias("at"))
+        sent = least.select("hash", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).where("part <> at.part")
+        single = single.unionByName(sent.select("hash", "part", *(F.col(f"at.{c}").alias(c) for c in columns[2:])))
+    return single.select(*columns[2:], F.xxhash64("hash", "part").alias("route")).withColumn("size", F.lit(1))
+
+
+def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD, sorted_bytes: int = SORTED_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (bytes); ``keep`` is "first" or "none"."""
     if keep not in ("first", "none"):
         raise ValueError(f"keep: {keep}")
@@ -218,13 +238,13 @@ def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id",
     head = crowded.select(F.col("at.doc").alias("doc"), F.col("at.version").alias("version"), F.col("at.first").alias("first"), F.col("at.size").alias("size"), "mark", "piece", "n", "others")
     plain = head.where(F.col("others") <= crowd).withColumns({"route": F.col("mark"), "step": F.lit(0)})
     many = head.where(F.col("others") > crowd)
-    columns = ["route", "mark", "piece", "doc", "first", "step", "size", "n"]
-    wanted = plain.select("version", *columns)
+    columns = ["route", "mark", "piece", "doc", "version", "first", "step", "size", "n"]
+    wanted = plain.select(*columns)
     if not many.isEmpty():
-        wanted = wanted.unionByName(_dealt(source, many, crowd).select("version", *columns))
+        wanted = wanted.unionByName(_dealt(source, many, crowd).select(*columns))
     cut = repeats.with_text(source, wanted, columns)
     routed = cut.mapInArrow(_cut, _CUT).repartition("route").sortWithinPartitions("route")
-    between = routed.mapInArrow(_sorter(keep), "mark long, piece long, n long, from int, to int")
+    between = routed.mapInArrow(_sorter(keep, sorted_bytes), "mark long, piece long, n long, from int, to int")
     if keep == "none":
         between = between.where("n = 1")
     # A match between classes concerns the first place of a class; its other places go anyway.

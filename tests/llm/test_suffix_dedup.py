@@ -55,6 +55,17 @@ def test_same_as_brute_force(documents, keep, crowd):
     assert sum(g[2] for g in got) > 1000
 
 
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_crowded_windows_that_are_sorted_apart(documents, keep):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    passage = prose(230)
+    docs = [(i, prose(60) + passage + prose(60)) for i in range(60)]
+    found = suffix_dedup.remove_copies(documents(*docs), keep, crowd=4, sorted_bytes=0).collect()
+    got = sorted((tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in found), key=repr)
+    assert got == brute(docs, keep)
+
+
 def test_repeated_rows(documents):
     text = "".join(random.Random(5).choice("abcdefgh ") for _ in range(500))
     rows = suffix_dedup.remove_copies(documents((1, text), (1, text), (2, "x")), "none").collect()

@@ -88,3 +88,28 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN kept <> page_id THEN 'r
        CASE WHEN kept <> page_id THEN kept END AS refers_to
 FROM p LEFT JOIN k USING (payload_digest, payload_bytes)
 """
+
+_ASSIGN = """
+d{r} AS (SELECT q.r, c, sum((x - y) * (x - y))::BIGINT AS distance FROM q JOIN c{r} USING (j) GROUP BY ALL),
+a{r} AS (SELECT r, min(distance) AS distance, min_by(c, (distance, c)) AS c FROM d{r} GROUP BY r),
+"""
+_MOVE = """
+m{r} AS (SELECT a.c, j, (sum(x)::HUGEINT) AS s, count(*) AS n FROM a{r} a JOIN q USING (r) GROUP BY ALL),
+c{next} AS (
+  SELECT c, j, coalesce(CASE WHEN s >= 0 THEN s // n ELSE -((-s + n - 1) // n) END, y)::BIGINT AS y FROM c{r} LEFT JOIN m{r} USING (c, j)),
+"""
+_ROUNDS = "".join(_ASSIGN.format(r=r) + (_MOVE.format(r=r, next=r + 1) if r < 3 else "") for r in range(4))
+
+CENTROIDS = f"""
+WITH v AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), e) AS r, vec_id, e
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)),
+q AS (SELECT r, unnest(range(1, 65)) AS j, unnest(e)::BIGINT AS x FROM v),
+c0 AS (SELECT r - 1 AS c, j, x AS y FROM q WHERE r <= 16),
+{_ROUNDS}
+names AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY j)) AS centroid_sha256 FROM c3 GROUP BY c)
+SELECT vec_id, c::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a3 JOIN v USING (r) JOIN names USING (c)
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import decontaminate, jaccard_join, language_id, line_dedup, quality_lm, sql, substring_dedup, suffix_dedup, toxicity, warc
+from chartloom.llm import alignment, centroids, decontaminate, jaccard_join, language_id, line_dedup, quality_lm, simhash, sql, substring_dedup, suffix_dedup, toxicity, warc
 from chartloom.llm.bpe import Tokenizer
 from chartloom.llm.registry import ORACLE, QUERIES, query, table
 from chartloom.llm.rows import fold
@@ -84,3 +84,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenizer.round_trip(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align(table(spark, sf_dir, "documents"), *files, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+@query(sql.CENTROIDS)
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dimension=64, scale=64.0, seed="1")
+    name = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", name)
+
+
+@query()
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.link(table(spark, sf_dir, "documents"), size=3, bits=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

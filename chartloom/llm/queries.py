@@ -89,7 +89,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    return alignment.align(table(spark, sf_dir, "documents"), *files, digest=True).withColumnRenamed("groups", "groups_sha256")
+    return alignment.align(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN, digest=True).withColumnRenamed("groups", "groups_sha256")
 
 
 @query(sql.CENTROIDS)

@@ -22,10 +22,10 @@ def libraries():
     return a, b
 
 
-@pytest.fixture(scope="module")
-def pair():
+@pytest.fixture(scope="module", params=[None, public_tokenizers.PATTERN])
+def pair(request):
     with open(A, "rb") as x, open(B, "rb") as y:
-        return alignment._Pair(x.read(), y.read())
+        return alignment._Pair(x.read(), y.read(), request.param)
 
 
 def plain(libraries, text):
@@ -89,9 +89,8 @@ def odd():
 
 def test_words_give_what_whole_texts_give(libraries, pair):
     assert pair.safe
-    a, b = libraries
-    for text in texts() + [t for t in odd() if t]:
-        of_a, of_b, size = pair.text(text)
+    rows = texts() + [t for t in odd() if t]
+    for text, (of_a, of_b, size) in zip(rows, pair.texts(rows), strict=True):
         want_a, want_b = plain(libraries, text)
         assert np.frombuffer(of_a, np.int32).tolist() == [k for k, _, _ in want_a]
         assert np.frombuffer(of_b, np.int32).tolist() == [k for k, _, _ in want_b]
@@ -121,7 +120,7 @@ def test_pointers_rest_at_the_end_of_components():
 def test_frames(documents, libraries, block):
     rows = [*enumerate(texts()[:60] + odd()), (3, "again"), (3, "again"), (None, "null id"), (200, "the the the the")]
     want = brute(libraries, rows)
-    got = [tuple(r) for r in alignment.align(documents(*rows), A, B, block_bytes=block).collect()]
+    got = [tuple(r) for r in alignment.align(documents(*rows), A, B, public_tokenizers.PATTERN, block_bytes=block).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.columns import ColumnOrName, as_column
-from chartloom.operators.relational import ensure_build_date, restrict_to, rows_of_entities_seen_at
+from chartloom.operators.relational import ensure_build_date, missing_from, restrict_to, rows_of_entities_seen_at
 from chartloom.operators.sync import classify, cohorts, leavers, stale_parts, tombstones
 from chartloom.plans import dimensions as dim
 from chartloom.plans.encounters import encounter_documents
@@ -22,9 +22,10 @@ from chartloom.plans.summaries import (
     vitals_documents,
 )
 from chartloom.plans.target import to_target
-from chartloom.session import written
+from chartloom.session import temporary_folders, written
 from chartloom.sources.documents import DB, read_manifest, write_documents
-from chartloom.sources.staging import read_staging, replace_staging
+from chartloom.sources.keyed import KeyedTable
+from chartloom.sources.staging import BY_PERSON, read_staging, replace_staging, staging_table
 
 PATIENT_TABLE = "patient"
 
@@ -63,11 +64,14 @@ def document_jobs(
 
 
 def rebuild_all(
-    jobs: Mapping[str, Callable[[], DataFrame]], root: str, built_at: Column | None = None
+    jobs: Mapping[str, Callable[[], DataFrame]], root: str, built_at: Column | None = None, spark: SparkSession | None = None
 ) -> None:
     """Build every document table and make it the new base of its staging table."""
+    spark = spark or SparkSession.active()
     for table, build in jobs.items():
-        replace_staging(ensure_build_date(build(), built_at), root, table)
+        # What streams append from here on is newer than what the build reads.
+        seen = staging_table(spark, root, table).version()
+        replace_staging(ensure_build_date(build(), built_at), root, table, seen=seen)
 
 
 def initial_load(table: str, staged: DataFrame, members: DataFrame, location_id: object) -> DataFrame:
@@ -94,20 +98,49 @@ def changed_documents(table: str, staged: DataFrame, members: DataFrame, manifes
     docs = addressed(table, staged, members)
     compared = classify(docs, manifest, "_id", on=[DB])
     news = compared.where(F.col("status") != "unchanged").drop("status")
-    gone = stale_parts(manifest, docs, on=[DB]).select("_id", "_rev", DB, "_deleted")
+    gone = stale_parts(manifest, docs, on=[DB]).select("_id", "_rev", DB, "person_id", "_deleted")
     return news.unionByName(gone, allowMissingColumns=True)
 
 
+def last_cohorts(spark: SparkSession, target_root: str, table: str) -> KeyedTable:
+    """Whom the last nightly run of a table wrote for; its note names the version of staging that the run had read."""
+    return KeyedTable(spark, f"{target_root.rstrip('/')}/_nightly/{table}", ["person_id", "location_id"])
+
+
+def touched_members(spark: SparkSession, staging_root: str, table: str, members: DataFrame, last: KeyedTable) -> DataFrame:
+    """Members whose documents changed in staging since the last run, and those who were not members then.
+
+    Staging names the keys it changed (``changes_since``), so unchanged documents are neither read nor compared.
+    """
+    if not last.exists():
+        return members
+    joined = missing_from(members, last.read(), ["person_id", "location_id"])
+    own = staging_table(spark, staging_root, table)
+    changed = own.changes_since(last.note()["version"])
+    if changed is None:
+        return members
+    if "person_id" not in changed.columns:
+        changed = restrict_to(own.read().select(*own.keys, "person_id"), changed, own.keys)
+    return joined.unionByName(restrict_to(members, changed.select("person_id").distinct(), "person_id")).distinct()
+
+
 def nightly_upsert(
     spark: SparkSession, staging_root: str, target_root: str, summary: DataFrame, date: Column, tables: Sequence[str]
 ) -> None:
-    """Bring the databases of all locations up to date with staging."""
-    members = written(cohorts(summary, date), "cohorts")
-    for table in tables:
-        manifest = read_manifest(spark, target_root)
-        write_documents(
-            changed_documents(table, read_staging(spark, staging_root, table), members, manifest), target_root
-        )
+    """Bring the databases of all locations up to date with staging: changed documents, and those of new members."""
+    with temporary_folders(spark):
+        members = written(cohorts(summary, date), "cohorts")
+        for table in tables:
+            version = staging_table(spark, staging_root, table).version()
+            last = last_cohorts(spark, target_root, table)
+            touched = written(touched_members(spark, staging_root, table, members, last), "touched")
+            if not touched.isEmpty():
+                people = touched.select("person_id").distinct()
+                staged = read_staging(spark, staging_root, table, people=people)
+                manifest = read_manifest(spark, target_root, people=people if table in BY_PERSON else None)
+                write_documents(changed_documents(table, staged, touched, manifest), target_root)
+            # The place moves on behind the write; a run that fails before is done again.
+            last.replace(members, note={"version": version})
 
 
 def leaver_tombstones(manifest: DataFrame, summary: DataFrame, today: Column, yesterday: Column) -> DataFrame:

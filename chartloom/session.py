@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,24 @@ def with_recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+# Folders made since the innermost ``temporary_folders`` began.
+_made: ContextVar[list[str] | None] = ContextVar("work_folders", default=None)
+
+
+@contextmanager
+def temporary_folders(spark: SparkSession) -> Iterator[None]:
+    """Work folders made inside are removed at the end, also after an error; frames read from them must be used up by then."""
+    mine: list[str] = []
+    token = _made.set(mine)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for folder in mine:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder on storage that every executor can reach.
 
@@ -42,7 +62,10 @@ def work_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="chartloom-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(folder)
+    return folder
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -57,5 +80,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def concurrently(*makers: Callable[[], object]) -> list:
     """Make frames whose plans depend on size checks, with the checks running as concurrent jobs."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(makers)) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(make)) for make in makers]]
+        return [f.result() for f in [pool.submit(copy_context().run, inherit(make)) for make in makers]]

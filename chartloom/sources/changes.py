@@ -7,8 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartloom.schemas import change_envelope
+from chartloom.sources.keyed import POSITION
 
-POSITION = "__position"
+# Time first: topics and partitions have offsets of their own, which say nothing about each other.
+POSITION_TYPE = T.StructType(
+    [
+        T.StructField("ts_ms", T.LongType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+    ]
+)
 SOURCE = "__source"
 
 
@@ -28,7 +37,7 @@ def read_kafka_changes(
     )
     if per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-    return reader.load().select(F.col("value").cast("string").alias("value"), F.col("offset").alias(POSITION))
+    return reader.load().select(F.col("value").cast("string").alias("value"), "topic", "partition", "offset")
 
 
 def read_file_changes(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
@@ -42,11 +51,14 @@ def read_file_changes(spark: SparkSession, path: str, per_trigger: int | None =
 def decode(df: DataFrame, after: T.StructType) -> DataFrame:
     """Envelope text to typed columns: source name, row after the change, position of the change.
 
-    The position is the Kafka offset where there is one, else the time stamp of the event. Text
-    that is no JSON gives a row without an after-image.
+    The position is the time of the event, then topic, partition and offset where they are known. It is null without a
+    time. Text that is no JSON gives a row without an after-image.
     """
     event = F.from_json("value", change_envelope(after))
-    position = F.col(POSITION) if POSITION in df.columns else F.col("__event.payload.ts_ms")
+    time = F.col("__event.payload.ts_ms").cast("long")
+    known = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None) for f in POSITION_TYPE.fields[1:]}
+    fields = [known[f.name].cast(f.dataType).alias(f.name) for f in POSITION_TYPE.fields[1:]]
+    position = F.when(time.isNotNull(), F.struct(time.alias("ts_ms"), *fields))
     return df.withColumn("__event", event).select(
         F.col("__event.schema.name").alias(SOURCE),
         F.col("__event.payload.after").alias("after"),

@@ -20,11 +20,12 @@ from chartloom.sources.keyed import DELETED, KeyedTable
 
 DB = "db"
 BODY = "body"
+BUCKETS = 8  # by person, in each database
 MANIFEST = row_type(_id="string", _rev="string", person_id="bigint", build_date="timestamp")
 
 
 def document_store(spark: SparkSession, root: str) -> KeyedTable:
-    return KeyedTable(spark, root, [DB, "_id"], partition_by=DB)
+    return KeyedTable(spark, root, [DB, "_id"], partition_by=DB, bucket_by="person_id", buckets=BUCKETS)
 
 
 def stored_form(df: DataFrame) -> DataFrame:
@@ -90,8 +91,8 @@ def database_exists(spark: SparkSession, root: str, db: str) -> bool:
     return store.exists() and not store.read().where(F.col(DB) == db).isEmpty()
 
 
-def _stored(spark: SparkSession, root: str, db: str | None) -> DataFrame:
-    rows = document_store(spark, root).read()
+def _stored(spark: SparkSession, root: str, db: str | None, people: DataFrame | None = None) -> DataFrame:
+    rows = document_store(spark, root).read(people)
     return rows if db is None else rows.where(F.col(DB) == db)
 
 
@@ -108,13 +109,15 @@ def read_manifest(
     root: str,
     db: str | None = None,
     columns: Sequence[str] = ("_id", "_rev", "person_id", "build_date"),
+    people: DataFrame | None = None,
 ) -> DataFrame:
     """Keys, revisions and build dates of the stored documents; no rows where nothing is stored.
 
-    Without ``db`` the rows of all databases, with the column ``db``.
+    Without ``db`` the rows of all databases, with the column ``db``. With ``people`` only the documents of these, from the
+    folders of their buckets.
     """
     if not document_store(spark, root).exists():
         nothing = spark.createDataFrame([], MANIFEST).withColumn(DB, F.lit(""))
         return nothing.select(DB, *columns) if db is None else nothing.select(*columns)
-    rows = _stored(spark, root, db)
+    rows = _stored(spark, root, db, people)
     return rows.select(DB, *columns) if db is None else rows.select(*columns)

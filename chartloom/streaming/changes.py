@@ -40,11 +40,12 @@ def after_image(
     return events.where(~missing).select("after.*", POSITION)
 
 
-def last_changes(batch: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def last_changes(batch: DataFrame, keys: str | Sequence[str], with_position: bool = False) -> DataFrame:
     """The last change of every key; changes at one position are told apart by their values."""
     names = as_list(keys)
     rest = sorted(c for c in batch.columns if c not in (*names, POSITION))
-    return last_row(batch, names, [POSITION, *rest]).drop(POSITION)
+    last = last_row(batch, names, [POSITION, *rest])
+    return last if with_position else last.drop(POSITION)
 
 
 def batch_keys(

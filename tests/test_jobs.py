@@ -47,9 +47,9 @@ def test_rebuild_load_night_and_stream(spark, rows, tmp_path):
     assert stored("metadata") == ["g1", "l1", "l2"] and stored("location-1") == []
     later = [*common[:-1], "2020-03-09", "--target", target]
     jobs.main(["first-load", *later, "--location", "1", "--tables", "patient", "vitals"])
-    assert stored("location-1") == ["1", "vitals_1_1"]
+    assert stored("location-1") == ["patient_1", "vitals_1_1"]
     jobs.main(["nightly", *later, "--tables", "hiv_summary", "lab_orders"])
-    assert stored("location-1") == ["1", "hivsummary_1_1", "lab_orders_1_1_o1", "vitals_1_1"]
+    assert stored("location-1") == ["hivsummary_1_1", "lab_orders_1_1_o1", "patient_1", "vitals_1_1"]
 
     inbox = tmp_path / "inbox"
     inbox.mkdir()

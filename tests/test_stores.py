@@ -95,6 +95,98 @@ def test_appends_are_folded_after_a_number(table, rows, monkeypatch):
     assert values(table.read()) == [(0, "v4"), (1, "v5"), (2, "v2"), (3, "v3")]
 
 
+def test_an_append_during_a_full_load_stays(table, rows):
+    table.upsert(rows("k int, v string", (1, "old"), (2, "old")))
+    seen = table.version()
+    table.upsert(rows("k int, v string", (2, "late"), (3, "late")))
+    table.replace(rows("k int, v string", (1, "new"), (2, "new")), seen=seen)
+    want = [(1, "new"), (2, "late"), (3, "late")]
+    assert values(table.read()) == want
+    table.compact()
+    assert values(table.read()) == want
+
+
+def test_two_writers_at_once(table, spark, rows):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(4) as pool:
+        parts = [KeyedTable(spark, table.path, "k") for _ in range(4)]
+        list(pool.map(lambda k: parts[k].upsert(spark.range(10).selectExpr(f"id + {10 * k} AS k", f"{k} AS w"), f"w{k}", 0), range(4)))
+    assert values(table.read()) == sorted([(k, k // 10) for k in range(40)], key=repr)
+    assert [c["number"] for c in table._commits()] == [0, 1, 2, 3]
+
+
+PLACED = "k int, v string, __position struct<ts_ms: bigint, topic: string>"
+
+
+def test_older_changes_do_not_apply(table, rows):
+    at = lambda t, topic="a": (t, topic)
+    table.upsert(rows(PLACED, (1, "new", at(9)), (2, "first", at(3)), (3, "x", at(5))))
+    table.upsert(rows(PLACED, (1, "old", at(4)), (2, "second", at(3, "b")), (4, "only", None)))
+    table.delete(rows(PLACED, (3, None, at(6))))
+    table.upsert(rows(PLACED, (3, "before its removal", at(5, "z")), (4, "known", at(1))))
+    want = [(1, "new"), (2, "second"), (4, "known")]
+    assert values(table.read()) == want
+    table.compact()
+    assert values(table.read()) == want
+    table.upsert(rows(PLACED, (1, "older", at(8)), (3, "still older", at(5)), (4, "older", at(0))))
+    assert values(table.read()) == want
+    # Rows without a position apply by the order of commits.
+    table.upsert(rows("k int, v string", (1, "by hand")))
+    table.upsert(rows(PLACED, (1, "late", at(7)), (3, "again", at(6, "z"))))
+    assert values(table.read()) == [(1, "by hand"), (2, "second"), (3, "again"), (4, "known")]
+
+
+def test_a_full_load_with_appends_it_has_not_seen_keeps_positions(table, rows):
+    table.upsert(rows(PLACED, (1, "a", (5, "t"))))
+    seen = table.version()
+    table.upsert(rows(PLACED, (1, "b", (7, "t"))))
+    table.replace(rows(PLACED, (1, "loaded", (6, "t")), (2, "loaded", (6, "t"))), seen=seen)
+    table.upsert(rows(PLACED, (1, "late", (5, "t")), (2, "late", (5, "t"))))
+    assert values(table.read()) == [(1, "b"), (2, "loaded")]
+
+
+def test_buckets(spark, rows, tmp_path, capsys):
+    own = KeyedTable(spark, str(tmp_path / "b"), "k", bucket_by="p", buckets=16)
+    own.replace(spark.range(200).selectExpr("concat(id % 20, '_', id) AS k", "id % 20 AS p", "id AS v"))
+    own.upsert(rows("k string, p int, v int", ("3_3", 3, -1), ("99_1", 99, 1)))
+    own.delete(rows("k string", ("3_23",)))
+    few = own.read(rows("p bigint", (3,), (3,), (None,)))
+    assert values(few.select("k", "v")) == sorted([("3_3", -1), *[(f"3_{v}", v) for v in range(43, 200, 20)]], key=repr)
+    few.explain("formatted")
+    plan = capsys.readouterr().out
+    assert plan.count("bucket") and all("isnull(bucket" in line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert own.read().count() == 200
+
+
+def test_changes_since(table, rows, spark):
+    assert table.changes_since(-1) is None
+    table.replace(rows("k int, v string", (1, "a"), (2, "b")))
+    assert table.changes_since(-1) is None
+    seen = table.version()
+    assert values(table.changes_since(seen)) == []
+    table.upsert(rows("k int, v string", (2, "B"), (3, "c"), (3, "c")))
+    table.delete(rows("k int", (1,)))
+    table.compact()
+    assert values(table.changes_since(seen)) == [(1,), (2,), (3,)]
+    assert values(table.changes_since(seen + 1)) == [(1,)]
+    table.vacuum(-60)
+    assert table.changes_since(seen) is None and values(table.changes_since(table.version())) == []
+    assert values(table.read()) == [(2, "B"), (3, "c"), (3, "c")]
+
+
+def test_vacuum_keeps_what_is_read(table, rows):
+    table.upsert(rows("k int, v string", (1, "a")))
+    table.vacuum(-60)
+    assert values(table.read()) == [(1, "a")]
+    table.compact()
+    table.upsert(rows("k int, v string", (2, "b")))
+    table.vacuum(3600)
+    assert len(table._names("data")) == 3
+    table.vacuum(-60)
+    assert len(table._names("data")) == 2 and values(table.read()) == [(1, "a"), (2, "b")]
+
+
 def test_documents_have_revisions(spark, rows, tmp_path):
     root = str(tmp_path / "docs")
     assert read_manifest(spark, root).count() == 0

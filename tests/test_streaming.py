@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from clinic import tables
@@ -9,6 +10,7 @@ from chartloom import schemas
 from chartloom.plans.summaries import hiv_summary_documents, labs_documents, vitals_documents
 from chartloom.sources.changes import POSITION, SOURCE, decode, read_file_changes, typed_rows
 from chartloom.sources.documents import read_manifest
+from chartloom.sources.keyed import KeyedTable
 from chartloom.sources.staging import read_staging
 from chartloom.streaming.changes import after_image, batch_keys, last_changes, route
 from chartloom.streaming.jobs import (
@@ -59,7 +61,7 @@ def test_decode_and_route(spark):
         "{broken",
     )
     events = decode(df, schemas.VITALS_CHANGE)
-    assert [(r[SOURCE], r[POSITION]) for r in events.collect()] == [
+    assert [(r[SOURCE], r[POSITION] and r[POSITION].ts_ms) for r in events.collect()] == [
         ("clinic.vitals.Envelope", 5),
         ("clinic.vitals.Envelope", 6),
         ("clinic.vitals_old.Envelope", 7),
@@ -204,9 +206,50 @@ def test_staged_then_synced(spark, rows, inbox, tmp_path):
     def run(name, *lines):
         stream = after_image(read_file_changes(spark, inbox(name, *lines)), schemas.VITALS_CHANGE)
         run_stream(stream, job, str(tmp_path / "checkpoint"), None).awaitTermination()
-        return {(r.db, r._id, r._rev[:1]) for r in read_manifest(spark, target).collect()}
+        return {(r.db, r._id, r._rev) for r in read_manifest(spark, target).collect()}
 
     first = run("a", vital(1, 1, "70", 1), vital(2, 1, "50", 2))
-    assert first == {("location-7", "vitals_1_1", "1"), ("location-8", "vitals_1_1", "1")}
+    assert first == {("location-7", "vitals_1_1", None), ("location-8", "vitals_1_1", None)}
     second = run("b", *[vital(1, e, "71", 10 + 86_400_000 * e) for e in range(2, 12)])
     assert {i for _, i, _ in second} == {f"vitals_1_{e}" for e in range(1, 12)}
+
+
+def test_positions_over_topics(spark):
+    lines = [(vital(1, 2, "70", 5), "b", 0, 1), (vital(1, 2, "71", 5), "a", 1, 9), (vital(1, 2, "72", 4), "z", 3, 99)]
+    df = spark.createDataFrame(lines, "value string, topic string, partition int, offset long")
+    rows = after_image(df, schemas.VITALS_CHANGE)
+    assert [r.weight for r in last_changes(rows, "person_id").collect()] == ["70"]
+
+
+def test_an_older_change_of_a_later_batch(spark, inbox, tmp_path):
+    staging = Staging(str(tmp_path / "staging"), "vitals")
+    job = direct(staging, ["person_id", "encounter_id"], lambda r: vitals_documents(parse_vitals(r), F.lit(datetime(2020, 1, 1))))
+
+    def run(name, checkpoint, *lines):
+        stream = after_image(read_file_changes(spark, inbox(name, *lines)), schemas.VITALS_CHANGE)
+        run_stream(stream, job, str(tmp_path / checkpoint), None).awaitTermination()
+        return {r.encounter_id: r.weight for r in staging.open(spark).read().collect()}
+
+    assert run("a", "c", vital(1, 1, "70", 20), vital(1, 2, "50", 20)) == {1: 70.0, 2: 50.0}
+    assert run("b", "c", vital(1, 1, "60", 10), vital(1, 2, "51", 30)) == {1: 70.0, 2: 51.0}
+    staging.open(spark).compact()
+    # A new checkpoint reads all from the start.
+    assert run("c", "new", vital(1, 3, "1", 1)) == {1: 70.0, 2: 51.0, 3: 1.0}
+
+
+def test_batches_leave_no_folders(spark, inbox, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr("chartloom.sources.keyed.COMPACT_AFTER", 2)
+    monkeypatch.setattr("chartloom.sources.keyed.KeyedTable.vacuum", lambda self, seconds=0, f=KeyedTable.vacuum: f(self, -60))
+    staging, target = Staging(str(tmp_path / "staging"), "vitals"), str(tmp_path / "target")
+    visits = rows("person_id int, location_id int, rtc_date timestamp", (1, 7, datetime(2020, 1, 1)))
+    stage = direct(staging, ["person_id", "encounter_id"], lambda r: vitals_documents(parse_vitals(r), F.lit(datetime(2020, 1, 1))))
+    job = staged_then_sync(stage, staging, target, visits, lambda: F.to_date(F.lit("2020-01-01")))
+    work = Path(spark.conf.get("spark.checkpoint.dir"))
+    folders, before = [], len(list(work.iterdir()))
+    for k in range(7):
+        stream = after_image(read_file_changes(spark, inbox(f"f{k}", vital(1, k, "70", k))), schemas.VITALS_CHANGE)
+        run_stream(stream, job, str(tmp_path / "checkpoint"), None).awaitTermination()
+        folders.append(len(list((tmp_path / "staging/vitals/data").iterdir())) + len(list((tmp_path / "target/data").iterdir())))
+    assert len(list(work.iterdir())) == before
+    assert max(folders[3:]) <= 8
+    assert staging.open(spark).read().count() == 7

@@ -70,7 +70,7 @@ LAST = "QUALIFY row_number() OVER (PARTITION BY user_id, encounter_id ORDER BY e
 def cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
     events = decode(vitals_changes(spark, sf), schemas.VITALS_CHANGE).where(F.col(POSITION).isNotNull())
     return events.select(
-        F.col(POSITION).alias("position"),
+        F.col(POSITION)["ts_ms"].alias("position"),
         F.col(SOURCE).alias("source"),
         F.col("after.person_id").cast("bigint").alias("person_id"),
         F.col("after.weight").cast("double").alias("weight"),
@@ -85,7 +85,7 @@ def cdc_decode(spark: SparkSession, sf: str) -> DataFrame:
 def cdc_route(spark: SparkSession, sf: str) -> DataFrame:
     events = route(decode(vitals_changes(spark, sf), schemas.VITALS_CHANGE), "vitals", exact=False)
     return events.where(F.col("after").isNotNull()).select(
-        F.col(POSITION).alias("position"), F.col("after.person_id").cast("bigint").alias("person_id")
+        F.col(POSITION)["ts_ms"].alias("position"), F.col("after.person_id").cast("bigint").alias("person_id")
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +14,8 @@ from chartloom.columns import as_list, is_atomic, row_bytes
 
 # A frame is broadcast only when a count of its bytes stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows without a key are spread over this many join buckets.
-NULL_BUCKETS = 256
+# A key that at least this share of the rows has is joined by itself.
+HOT_SHARE = 0.01
 
 
 # -- projections ------------------------------------------------------------------------------
@@ -139,7 +140,7 @@ def lookup(
         no_key = F.col(pairs[0][0]).isNull()
         df = df.withColumn(
             "__bucket",
-            F.when(no_key, F.pmod(F.xxhash64(*stable), F.lit(NULL_BUCKETS))).otherwise(F.lit(0)),
+            F.when(no_key, F.xxhash64(*stable)).otherwise(F.lit(0)),
         )
         renamed = renamed.withColumn("__key_bucket", F.lit(0).cast("bigint"))
         condition.append(F.col("__bucket") == F.col("__key_bucket"))
@@ -147,6 +148,35 @@ def lookup(
     return df.join(renamed, condition, how).drop(*helpers)
 
 
+def frequent_keys(df: DataFrame, column: str, share: float = HOT_SHARE) -> list:
+    """Values that at least a share of the rows have: a frequency sketch of at most ``1 / share`` values, in one pass.
+
+    No such value is missing; rarer ones may be among them.
+    """
+    found = df.where(F.col(column).isNotNull()).select(F.col(column).alias("key")).freqItems(["key"], share).first()
+    return list(found[0])
+
+
+def lookup_hot(df: DataFrame, dim: DataFrame, on: str | tuple[str, str], how: str = "inner", share: float = HOT_SHARE) -> DataFrame:
+    """``lookup`` of a large dictionary by a key that few values, or none, make up for much of.
+
+    Rows without a key do not meet the dictionary at all. Rows of frequent keys stay where they are: the dictionary's rows for these
+    keys, at most ``1 / share`` if it is unique by key, are broadcast once their bytes are measured. The rest is joined by a shuffle, in which no
+    key holds more than ``share`` of the rows.
+    """
+    left, right = _pairs(on if isinstance(on, str) else [on])[0]
+    hot = frequent_keys(df, left, share)
+    some = dim.where(F.col(right).isin(hot))
+    parts = [lookup(df.where(F.col(left).isin(hot)), measured(some), [(left, right)], how)] if hot else []
+    cold = df.where(F.col(left).isNotNull() & ~F.col(left).isin(hot)) if hot else df.where(F.col(left).isNotNull())
+    parts.append(lookup(cold, dim.where(~F.col(right).isin(hot)) if hot else dim, [(left, right)], how))
+    result = reduce(DataFrame.unionByName, parts)
+    if how == "left":
+        names = [f for f in result.schema.fields if f.name not in df.columns]
+        result = result.unionByName(df.where(F.col(left).isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in names}))
+    return result
+
+
 def attach_children(
     df: DataFrame, id_column: str, parent_column: str, prefix: str = "child_", how: str = "inner"
 ) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from pathlib import Path
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +36,22 @@ def with_recommended(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand the package to the Python workers, once per application, as ``--py-files`` would."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    handle, name = tempfile.mkstemp(prefix="chartloom-", suffix=".zip")
+    with os.fdopen(handle, "wb") as file, zipfile.ZipFile(file, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(name)
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 # Folders made since the innermost ``temporary_folders`` began.
 _made: ContextVar[list[str] | None] = ContextVar("work_folders", default=None)
 

@@ -49,20 +49,6 @@ def stored_form(df: DataFrame) -> DataFrame:
     )
 
 
-def write_bulk_files(df: DataFrame, path: str, bulk_size: int = 1_000_000) -> None:
-    """Documents as JSON lines in one folder per database, the form bulk loaders of document databases take.
-
-    A file holds at most ``bulk_size`` documents. Known revisions go along, and removals are documents
-    with ``_deleted`` and no body.
-    """
-    own = [c for c in df.columns if c not in (DB, DELETED)]
-    gone = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in df.columns else F.lit(False)
-    kept = [c for c in ("_id", "_rev") if c in own]
-    line = F.when(gone, F.to_json(F.struct(*kept, F.lit(True).alias(DELETED)))).otherwise(to_doc_json(F.struct(*own)))
-    out = df.select(DB, line.alias("value")).hint("rebalance", F.col(DB))
-    out.write.partitionBy(DB).option("maxRecordsPerFile", bulk_size).text(path)
-
-
 def write_documents(
     df: DataFrame,
     root: str,

@@ -41,6 +41,23 @@ def test_lookup_left_keeps_rows_without_key(rows, spread, small):
     assert values(got) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("share", [0.5, 0.05, 0.001])
+def test_lookup_hot(rows, how, share):
+    keys = [None] * 30 + [1] * 40 + [2] * 10 + list(range(3, 43)) + [999]
+    facts = rows("id int, k int", *enumerate(keys))
+    dim = rows("key int, name string", *[(i, f"n{i}") for i in range(30)])
+    got = rel.lookup_hot(facts, dim, ("k", "key"), how, share)
+    found = {i: f"n{i}" for i in range(30)}
+    want = [(i, k, found.get(k)) for i, k in enumerate(keys) if how == "left" or k in found]
+    assert got.columns == ["id", "k", "name"] and values(got) == sorted(want, key=repr)
+
+
+def test_frequent_keys(rows):
+    df = rows("k string", *[("a",)] * 50, *[("b",)] * 30, *[(str(i),) for i in range(20)], *[(None,)] * 40)
+    assert {"a", "b"} <= set(rel.frequent_keys(df, "k", 0.2)) and None not in rel.frequent_keys(df, "k", 0.01)
+
+
 def test_lookup_in_two_roles(rows):
     facts = rows("a int, b int", (1, 2))
     dim = rows("k int, name string", (1, "x"), (2, "y"))

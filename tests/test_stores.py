@@ -1,13 +1,18 @@
+import json
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from chartloom.columns import row_type
+from chartloom.operators.recent import RecentRows
+from chartloom.operators.relational import restrict_to
 from chartloom.session import work_dir
+from chartloom.sources.bulk import bulk_files, read_bulk_files, stream_bulk_files, write_bulk_files
 from chartloom.sources.documents import database_exists, read_documents, read_manifest, write_documents
 from chartloom.sources.keyed import KeyedTable
-from chartloom.sources.tables import JdbcTables, ParquetTables, filter_in, read_partitioned, read_table, scan_by_keys, stride_options
+from chartloom.sources.staging import replace_staging, upsert_staging
+from chartloom.sources.tables import JdbcTables, ParquetTables, balanced_ranges, filter_in, read_ranges, read_table, scan_by_keys, stride_options
 
 
 def values(df):
@@ -210,7 +215,7 @@ def test_scans(spark, rows, tmp_path):
     source = ParquetTables(str(tmp_path))
     rows("k int, v string", *[(i, f"v{i}") for i in range(100)], (None, "none")).write.parquet(f"{source.root}/t.parquet")
     df = read_table(spark, source, "t", ["k"])
-    assert df.columns == ["k"] and read_partitioned(spark, source, "t", "k", 10, 50, 4).count() == 101
+    assert df.columns == ["k"] and read_ranges(spark, source, "t", "k", 4).count() == 101
     keys = rows("id int", (3,), (3,), (None,), (500,))
     few = scan_by_keys(df, keys, "k", "id")
     many = scan_by_keys(df, keys, "k", "id", literal_keys=1)
@@ -235,3 +240,127 @@ def test_work_folder_is_the_shared_one(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a != b and a.startswith(f"{root}/x-")
+
+
+def test_balanced_ranges(spark, rows):
+    df = spark.range(1000).selectExpr("CASE WHEN id % 10 <> 0 THEN id * id END AS v")
+    ranges = balanced_ranges(df, "v", 5)
+    sizes = [df.where(r).count() for r in ranges]
+    assert len(ranges) == 5 and sum(sizes) == 1000
+    assert max(sizes[1:]) <= 2 * min(sizes[1:]) and sizes[0] - 100 <= 2 * min(sizes[1:])
+    # One value may fill several ranges, all rows may have none, and there may be no rows.
+    same = rows("v int", *[(7,)] * 50, (1,), (None,))
+    for odd in (same, same.where("v IS NULL"), same.limit(0)):
+        found = balanced_ranges(odd, "v", 4)
+        assert sum(odd.where(r).count() for r in found) == odd.count()
+    assert balanced_ranges(df, "v", 1) == ["1 = 1"]
+
+
+DOC = "db string, _id string, _rev string, _deleted boolean, n int"
+
+
+def test_bulk_files(spark, rows, tmp_path):
+    root = str(tmp_path / "bulk")
+    assert bulk_files(root) == [] and read_bulk_files(spark, root).count() == 0
+    docs = rows(DOC, ("a", "1", None, False, 1), ("a", "2", "3-x", False, 2), ("b", "1", "1-y", True, 3), ("b", "2", None, None, None))
+    write_bulk_files(docs, root, "first", bulk_size=1)
+    want = [
+        ("a", {"_id": "1", "n": 1}),
+        ("a", {"_id": "2", "_rev": "3-x", "n": 2}),
+        ("b", {"_id": "1", "_rev": "1-y", "_deleted": True}),
+        ("b", {"_id": "2"}),
+    ]
+
+    def stored():
+        clean = lambda d: {k: v for k, v in json.loads(d).items() if v is not None}
+        return sorted(((r.db, clean(r.value)) for r in read_bulk_files(spark, root).collect()), key=repr)
+
+    assert stored() == sorted(want, key=repr) and len(bulk_files(root)) == 4
+    write_bulk_files(docs, root, "first")
+    assert stored() == sorted(want, key=repr)
+    assert len([f for f in (tmp_path / "bulk/files").rglob("*.jsonl")]) == 4
+    write_bulk_files(docs.where("db = 'a'"), root, "second")
+    assert len(stored()) == 6
+
+
+def test_a_failed_bulk_write_adds_nothing(spark, rows, tmp_path):
+    root = str(tmp_path / "bulk")
+    broken = rows(DOC, ("a", "1", None, False, 1), ("b", "1", None, False, 0)).withColumn("m", F.expr("assert_true(n > 0)").cast("string"))
+    with pytest.raises(Exception, match="n > 0"):
+        write_bulk_files(broken, root, "one")
+    assert bulk_files(root) == []
+
+
+def test_bulk_stream(spark, tmp_path):
+    root, inbox = str(tmp_path / "bulk"), tmp_path / "in"
+    inbox.mkdir()
+    for name in ("x", "y"):
+        (inbox / f"{name}.txt").write_text(f"{name}1\n{name}2\n")
+        docs = spark.readStream.text(str(inbox)).select(F.lit("d").alias("db"), F.col("value").alias("_id"))
+        stream_bulk_files(docs, root, "job", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(json.loads(r.value)["_id"] for r in read_bulk_files(spark, root).collect()) == ["x1", "x2", "y1", "y2"]
+    # A batch that was committed, but not noted in the checkpoint, is written again.
+    for folder in ("commits",):
+        (tmp_path / "checkpoint" / folder / "1").unlink()
+        (tmp_path / "checkpoint" / folder / ".1.crc").unlink(missing_ok=True)
+    stream_bulk_files(docs, root, "job", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert read_bulk_files(spark, root).count() == 4
+
+
+def test_recent_rows(spark, rows, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    schema = "k int, t int, r int, v int, _deleted boolean"
+    store, live = RecentRows(spark, str(tmp_path / "recent"), "k", "t", "r", n=3), {}
+    reads = []
+
+    def history(keys):
+        reads.append([r.k for r in keys.collect()])
+        return restrict_to(rows("k int, t int, r int, v int", *[(k, t, r, v) for (k, r), (t, v) in live.items()]), keys, "k")
+
+    for number in range(5):
+        batch = {}
+        for _ in range(12):
+            own = (rng.randint(1, 4), rng.randint(1, 8))
+            batch[own] = (rng.randint(1, 30), rng.randint(1, 99), number > 0 and rng.random() < 0.4)
+        for own, (t, v, gone) in batch.items():
+            live.pop(own, None)
+            if not gone:
+                live[own] = (t, v)
+        store.merge(rows(schema, *[(k, t, r, v, gone) for (k, r), (t, v, gone) in batch.items()]), history, "w", number)
+        want = []
+        for k in range(1, 5):
+            own = sorted(((t, r, v) for (key, r), (t, v) in live.items() if key == k), reverse=True)[:3]
+            want += [(k, t, r, v) for t, r, v in own]
+        assert values(store.read().select("k", "t", "r", "v")) == sorted(want, key=repr)
+    # A newer row needs no history.
+    live[2, 99] = (100, 1)
+    store.merge(rows(schema, (2, 100, 99, 1, False)), history, "w", 99)
+    assert reads[-1] == []
+
+
+def test_nightly_reads_only_what_changed(spark, rows, tmp_path, monkeypatch):
+    from chartloom.plans import rebuild
+
+    staging, target = str(tmp_path / "staging"), str(tmp_path / "target")
+    visits = rows("person_id int, location_id int, rtc_date timestamp", *[(p, p % 2, datetime(2020, 1, 1)) for p in range(10)])
+    docs = rows(
+        "doc_id string, person_id int, encounter_id int, encounter_datetime timestamp, build_date timestamp, w int",
+        *[(f"v{p}", p, p, datetime(2020, 1, 1), datetime(2020, 1, 1), 1) for p in range(10)],
+    )
+    read = []
+    monkeypatch.setattr(rebuild, "read_staging", lambda *a, f=rebuild.read_staging, **k: read.append(sorted(r.person_id for r in k["people"].collect())) or f(*a, **k))
+    upsert_staging(docs, staging, "vitals")
+
+    def night(day=1):
+        del read[:]
+        rebuild.nightly_upsert(spark, staging, target, visits, F.to_date(F.lit(f"2020-01-{day:02}")), ["vitals"])
+        return [p for people in read for p in people], read_manifest(spark, target).count()
+
+    assert night() == (list(range(10)), 10)
+    assert night() == ([], 10)
+    upsert_staging(docs.where("person_id IN (3, 4)").withColumns({"w": F.lit(2), "build_date": F.lit(datetime(2020, 1, 2))}), staging, "vitals")
+    assert night() == ([3, 4], 10)
+    replace_staging(docs, staging, "vitals")
+    assert night() == (list(range(10)), 10)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.functions.text import display
+from chartloom.operators.relational import rename_map
 from chartloom.operators.windows import latest_n
 from chartloom.plans import dimensions as dim
 from chartloom.plans.encounters import encounter_documents
@@ -18,7 +19,7 @@ from chartloom.plans.summaries import (
     program_documents,
     vitals_documents,
 )
-from chartloom.plans.target import as_json_columns, to_target
+from chartloom.plans.target import DOCUMENT_NAMES, as_json_columns, to_target
 from workload.registry import query
 from workload.scans import names_sql
 from workload.standin import BUILT, SQL, built_at, clinical, load, uuid
@@ -188,28 +189,24 @@ def encounter_doc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {SQL} SELECT 'encounter_' || doc_id AS _id, person_id, encounter_datetime, visit_display, n_providers, n_orders, n_obs FROM encounter_docs
+    f"""WITH {SQL} SELECT * EXCLUDE (doc_id), 'encounter_' || doc_id AS _id FROM encounter_docs
         QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY encounter_datetime DESC, encounter_id DESC) <= 10"""
 )
 def doc_for_target(spark: SparkSession, sf: str) -> DataFrame:
-    """The ten latest encounters of every person, from the JSON text of the staging form."""
+    """The ten latest encounters of every person with all their content, from the JSON text of the staging form."""
     tables = clinical(spark, sf)
     staged = as_json_columns("encounter", encounter_documents(tables, build_obs(tables), built_at()))
-    docs = to_target("encounter", staged)
-    return docs.select(
-        "_id",
-        "person_id",
-        F.col("encounterDatetime").alias("encounter_datetime"),
-        F.col("visit.display").alias("visit_display"),
-        size("encounterProviders").alias("n_providers"),
-        size("orders").alias("n_orders"),
-        size("obs").alias("n_obs"),
-    )
+    docs = to_target("encounter", staged).withColumnRenamed("_id", "doc_id")
+    return flat_encounters(rename_map(docs, {new: old for old, new in DOCUMENT_NAMES["encounter"].items()})).withColumnRenamed("doc_id", "_id")
 
 
 # -- patients ---------------------------------------------------------------------------------
 
 
+def as_of() -> Column:
+    return F.to_date(F.lit("2021-05-05"))
+
+
 def patient_view(spark: SparkSession, sf: str) -> DataFrame:
     """Customers times their orders as attributes times two identifiers each, as a flat view has them."""
     customer = load(spark, sf, "customer").join(load(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -263,7 +260,10 @@ def patient_view(spark: SparkSession, sf: str) -> DataFrame:
         FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN a ON o_custkey = c_custkey"""
 )
 def patient_doc(spark: SparkSession, sf: str) -> DataFrame:
-    docs = patient_documents(patient_view(spark, sf), F.to_date(F.lit("2021-05-05")), built_at())
+    return flat_patients(patient_documents(patient_view(spark, sf), as_of(), built_at()))
+
+
+def flat_patients(docs: DataFrame) -> DataFrame:
     attribute = joined("patient.person.attributes", lambda a: F.concat_ws("|", a["uuid"], a["display"]))
     identifier = joined("patient.identifiers", lambda i: F.concat_ws("@", i["identifier"], i["location"]["name"]))
     return docs.select(
@@ -347,6 +347,11 @@ def hiv_summary_doc(spark: SparkSession, sf: str) -> DataFrame:
         LEFT JOIN regimen r ON r.user_id = e.user_id AND r.encounter_datetime = e.ts"""
 )
 def labs_doc(spark: SparkSession, sf: str) -> DataFrame:
+    return labs_documents(*lab_tables(spark, sf), summaries(spark, sf), built_at=built_at())
+
+
+def lab_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Labs, and the places of their encounters."""
     events = load(spark, sf, "events")
     labs = events.select(
         F.col("user_id").alias("person_id"),
@@ -358,7 +363,7 @@ def labs_doc(spark: SparkSession, sf: str) -> DataFrame:
     encounters = events.join(customer, F.col("user_id") == F.col("c_custkey")).select(
         F.col("event_id").alias("encounter_id"), F.col("c_nationkey").alias("location_id")
     )
-    return labs_documents(labs, encounters, summaries(spark, sf), built_at=built_at())
+    return labs, encounters
 
 
 def enrolments(spark: SparkSession, sf: str) -> DataFrame:
@@ -390,7 +395,10 @@ def enrolments(spark: SparkSession, sf: str) -> DataFrame:
         JOIN region ON n_regionkey = r_regionkey"""
 )
 def program_doc(spark: SparkSession, sf: str) -> DataFrame:
-    docs = program_documents(enrolments(spark, sf), built_at())
+    return flat_programs(program_documents(enrolments(spark, sf), built_at()))
+
+
+def flat_programs(docs: DataFrame) -> DataFrame:
     return docs.select(
         "person_id",
         "patient_program_id",
@@ -427,5 +435,8 @@ def program_doc(spark: SparkSession, sf: str) -> DataFrame:
 )
 def lab_order_doc(spark: SparkSession, sf: str) -> DataFrame:
     tables = clinical(spark, sf)
-    docs = lab_order_documents(tables.replaced(orders=tables["lab_orders"]), built_at())
+    return flat_lab_orders(lab_order_documents(tables.replaced(orders=tables["lab_orders"]), built_at()))
+
+
+def flat_lab_orders(docs: DataFrame) -> DataFrame:
     return docs.withColumn("identifiers", F.array_join("identifiers", ";"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.operators.nesting import first_row, nest_list as nest_rows, nest_set as nest_distinct, one_per_day, pick_first
-from chartloom.operators.relational import attach_children, lookup
+from chartloom.operators.relational import attach_children, lookup, lookup_hot
 from chartloom.operators.windows import latest_n as latest
 from workload.registry import query
 from workload.standin import load
@@ -35,6 +35,18 @@ def lookup_left(spark: SparkSession, sf: str) -> DataFrame:
     return lookup(orders, supplier, [("supplier", "s_suppkey")], "left", spread_nulls=True).drop("supplier")
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, s_name FROM lineitem
+       LEFT JOIN supplier ON s_suppkey = CASE WHEN l_returnflag = 'R' THEN NULL WHEN l_returnflag = 'N' THEN 1 ELSE l_suppkey END"""
+)
+def join_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Half of the rows have one key, and a quarter none."""
+    key = F.when(F.col("l_returnflag") == "N", F.lit(1)).when(F.col("l_returnflag") != "R", F.col("l_suppkey"))
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", key.cast("bigint").alias("supplier"))
+    supplier = load(spark, sf, "supplier").select("s_suppkey", "s_name")
+    return lookup_hot(lines, supplier, ("supplier", "s_suppkey"), "left").drop("supplier")
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 )

@@ -26,8 +26,9 @@ from chartloom.operators.relational import (
 )
 from chartloom.sources.tables import (
     ParquetTables,
+    balanced_ranges,
     filter_in,
-    read_partitioned,
+    read_ranges,
     read_table,
     scan_by_keys as scan_keys,
 )
@@ -47,12 +48,33 @@ def scan_project(spark: SparkSession, sf: str) -> DataFrame:
     """SELECT l_returnflag, count(*) AS n, min(l_orderkey) AS low, max(l_orderkey) AS high FROM lineitem GROUP BY 1"""
 )
 def scan_partitioned(spark: SparkSession, sf: str) -> DataFrame:
-    lines = read_partitioned(spark, ParquetTables(sf), "lineitem", "l_orderkey", 1000, 100_000, 16)
+    """All rows, read by balanced ranges of the order."""
+    lines = read_ranges(spark, ParquetTables(sf), "lineitem", "l_orderkey", 16)
     return lines.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")
     )
 
 
+@query(
+    """SELECT 8 AS ranges, count(*) AS n, true AS balanced,
+              count(*) FILTER (WHERE o_orderstatus = 'P') AS without_value FROM orders"""
+)
+def scan_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Ranges of a column that is unevenly filled and sometimes missing: no row lost or doubled, sizes within twice of each other."""
+    total = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") * F.col("o_totalprice"))
+    orders = load(spark, sf, "orders").select(total.alias("squared"))
+    ranges = balanced_ranges(orders, "squared", 8)
+    own = F.coalesce(*[F.when(F.expr(r), F.lit(k)) for k, r in enumerate(ranges)])
+    known = F.count("squared").alias("known")
+    sizes = orders.groupBy(own.alias("own")).agg(F.count(F.lit(1)).alias("rows"), known)
+    return sizes.agg(
+        F.count(F.lit(1)).cast("int").alias("ranges"),
+        F.sum("rows").alias("n"),
+        (F.max("known") <= 2 * F.min("known")).alias("balanced"),
+        (F.sum("rows") - F.sum("known")).alias("without_value"),
+    )
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
        WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)"""

@@ -6,16 +6,37 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom import schemas
-from chartloom.plans.summaries import vitals_documents
+from chartloom.plans.summaries import hiv_summary_documents, vitals_documents
 from chartloom.session import work_dir
-from chartloom.sources.changes import POSITION, SOURCE, decode, read_file_changes
+from chartloom.sources.changes import POSITION, SOURCE, decode, read_file_changes, typed_rows
 from chartloom.sources.documents import read_documents
 from chartloom.sources.staging import read_staging
 from chartloom.streaming.changes import after_image, batch_keys as keys_of, last_changes, route
-from chartloom.streaming.jobs import Staging, direct, encounters_of, rebuild, run_stream, staged_then_sync
-from chartloom.streaming.parse import parse_encounters, parse_vitals
-from workload.documents import flat_encounters
-from workload.registry import query
+from chartloom.streaming.jobs import (
+    Staging,
+    direct,
+    encounters_of,
+    lab_orders_of,
+    labs_of,
+    patients_of,
+    programs_of,
+    rebuild,
+    run_stream,
+    staged_then_sync,
+)
+from chartloom.streaming.parse import parse_encounters, parse_hiv_summary, parse_vitals
+from workload.documents import (
+    as_of,
+    enrolments,
+    flat_encounters,
+    flat_lab_orders,
+    flat_patients,
+    flat_programs,
+    lab_tables,
+    patient_view,
+    summaries,
+)
+from workload.registry import ORACLE, query
 from workload.standin import SQL, built_at, clinical, load
 from workload.sync import DUE_TODAY, TODAY, VITALS_DOC, day, summary
 
@@ -213,3 +234,92 @@ def stream_sync(spark: SparkSession, sf: str) -> DataFrame:
     job = staged_then_sync(vitals_job(staging), staging, target, summary(spark, sf), lambda: day(TODAY))
     run_stream(vitals_stream(spark, inbox), job, work_dir(spark, "checkpoint"), None).awaitTermination()
     return read_documents(spark, target, VITALS_DOC).select("_id", "db", "person_id", "encounter_id", "weight")
+
+
+def rebuilt(spark: SparkSession, table: str, schema, after: Column, source: DataFrame, build) -> DataFrame:
+    """Staged documents after a stream of changes that name entities of a table."""
+    inbox = work_dir(spark, "inbox")
+    source.select(envelopes(F.lit(f"clinic.{table}.Envelope"), after, F.lit(1)).alias("value")).write.text(inbox)
+    staging = Staging(work_dir(spark, "staging"), table)
+    stream = after_image(read_file_changes(spark, inbox), schema, f"clinic.{table}.Envelope")
+    run_stream(stream, rebuild(staging, build), work_dir(spark, "checkpoint"), None).awaitTermination()
+    return read_staging(spark, staging.root, table)
+
+
+def unbuilt(name: str) -> str:
+    """The SQL of a document query without the time of building."""
+    return f"SELECT * EXCLUDE (build_date) FROM ({ORACLE[name]})"
+
+
+@query(unbuilt("labs_doc"))
+def stream_labs(spark: SparkSession, sf: str) -> DataFrame:
+    labs, encounters = lab_tables(spark, sf)
+    after = F.struct("person_id", "encounter_id")
+    docs = rebuilt(spark, "labs", schemas.LAB_CHANGE, after, labs, labs_of(labs, encounters, summaries(spark, sf)))
+    return docs.drop("build_date")
+
+
+@query(unbuilt("patient_doc"))
+def stream_patients(spark: SparkSession, sf: str) -> DataFrame:
+    people = load(spark, sf, "customer").select(F.col("c_custkey").alias("person_id"))
+    view = patient_view(spark, sf)
+    docs = rebuilt(spark, "patient", schemas.PERSON_CHANGE, F.struct("person_id"), people, patients_of(view, as_of()))
+    return flat_patients(docs).drop("build_date")
+
+
+@query(unbuilt("program_doc"))
+def stream_programs(spark: SparkSession, sf: str) -> DataFrame:
+    view = enrolments(spark, sf)
+    after = F.struct("patient_program_id", F.col("person_id").alias("patient_id"))
+    docs = rebuilt(spark, "program_enrollment", schemas.PROGRAM_ENROLLMENT_CHANGE, after, view, programs_of(view))
+    return flat_programs(docs).drop("build_date")
+
+
+@query(unbuilt("lab_order_doc"))
+def stream_lab_orders(spark: SparkSession, sf: str) -> DataFrame:
+    tables = clinical(spark, sf)
+    tables = tables.replaced(orders=tables["lab_orders"])
+    after = F.struct("order_id", "patient_id", "encounter_id")
+    docs = rebuilt(spark, "lab_orders", schemas.ORDER_CHANGE, after, tables["orders"], lab_orders_of(tables))
+    return flat_lab_orders(docs).drop("build_date")
+
+
+@query(
+    """SELECT user_id AS person_id, event_id AS encounter_id, date_trunc('second', ts) AS encounter_datetime,
+              concat_ws('_', 'hivsummary', user_id, event_id) AS doc_id, value AS vl_1,
+              CASE WHEN event_type = 'view' THEN 'LOPINAVIR,' END AS cur_arv_meds
+       FROM events"""
+)
+def hiv_change_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Change values of HIV summaries as typed rows and documents; times come in seconds or in milliseconds."""
+    seconds = F.floor(millis("ts") / 1000)
+    time = F.when(F.col("event_id") % 2 == 0, seconds).otherwise(seconds * 1000)
+    fields = [
+        F.col("user_id").alias("person_id"),
+        F.col("event_id").alias("encounter_id"),
+        time.alias("encounter_datetime"),
+        F.col("value").alias("vl_1"),
+        F.when(F.col("event_type") == "view", F.lit("9026")).alias("cur_arv_meds"),
+    ]
+    changes = load(spark, sf, "events").select(F.to_json(F.struct(*fields)).alias("value"))
+    docs = hiv_summary_documents(parse_hiv_summary(typed_rows(changes, schemas.HIV_SUMMARY_CHANGE)), built_at())
+    return docs.select(
+        F.col("person_id").cast("bigint").alias("person_id"),
+        F.col("encounter_id").cast("bigint").alias("encounter_id"),
+        F.col("encounter_datetime").cast("timestamp_ntz").alias("encounter_datetime"),
+        "doc_id",
+        "vl_1",
+        "cur_arv_meds",
+    )
+
+
+@query(STAGED_VITALS)
+def stream_late_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches, the newer changes first: older ones do not replace what newer ones have staged."""
+    inbox, checkpoint = work_dir(spark, "inbox"), work_dir(spark, "checkpoint")
+    staging = Staging(work_dir(spark, "staging"), "vitals")
+    changes = vitals_changes(spark, sf)
+    for part in (changes.where(F.hour("ts") >= 12), changes.where(F.hour("ts") < 12)):
+        part.select("value").write.mode("append").text(inbox)
+        run_stream(vitals_stream(spark, inbox), vitals_job(staging), checkpoint, None).awaitTermination()
+    return staged_vitals(spark, staging)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.columns import row_type
 from chartloom.operators.relational import missing_from, restrict_to, rows_of_entities_seen_at
+from chartloom.operators.recent import RecentRows
 from chartloom.operators.sync import (
     attach_rev,
     classify,
@@ -19,6 +20,7 @@ from chartloom.operators.sync import (
 from chartloom.plans.rebuild import initial_load, nightly_delete, nightly_upsert, rebuild_all
 from chartloom.plans.summaries import vitals_documents
 from chartloom.session import work_dir
+from chartloom.sources.bulk import read_bulk_files, write_bulk_files
 from chartloom.sources.documents import read_documents, read_manifest, write_documents
 from chartloom.sources.keyed import KeyedTable
 from chartloom.sources.staging import read_staging, replace_staging, staging_table, upsert_staging
@@ -235,17 +237,108 @@ def doc_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
        FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0"""
 )
 def two_writers(spark: SparkSession, sf: str) -> DataFrame:
-    """Two writers of one table that both look at the commits before either has committed; the later commit wins where both wrote."""
+    """Two writers of one table; the later commit wins where both wrote."""
     path = work_dir(spark, "table")
     one, two = (KeyedTable(spark, path, "k") for _ in range(2))
     rows = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
-    listed = one._names("commits")
-    two._names = lambda folder: listed if folder == "commits" else one._names(folder)
     one.upsert(rows.where("k % 2 = 0").withColumn("writer", F.lit("one")), "one", 0)
     two.upsert(rows.where("k % 3 = 0").withColumn("writer", F.lit("two")), "two", 0)
     return one.read().select("k", "writer", "v")
 
 
+@query(
+    """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'stream' ELSE 'load' END AS writer, o_custkey AS v FROM orders
+       WHERE o_orderstatus <> 'P' OR o_orderkey % 3 = 0"""
+)
+def load_during_appends(spark: SparkSession, sf: str) -> DataFrame:
+    """A full load stands for what there was when it began to read; what a stream commits meanwhile stays."""
+    table = KeyedTable(spark, work_dir(spark, "table"), "k")
+    rows = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"), "o_orderstatus")
+    table.upsert(rows.drop("o_orderstatus").withColumn("writer", F.lit("before")), "before", 0)
+    seen = table.version()
+    loaded = rows.where("o_orderstatus <> 'P'").drop("o_orderstatus").withColumn("writer", F.lit("load"))
+    table.upsert(rows.where("k % 3 = 0").drop("o_orderstatus").withColumn("writer", F.lit("stream")), "stream", 0)
+    table.replace(loaded, seen=seen)
+    return table.read().select("k", "writer", "v")
+
+
+@query(
+    """SELECT 'vitals_' || user_id || '_' || event_id AS doc_id, user_id AS person_id, CASE WHEN event_type = 'click' THEN -1 ELSE value END AS weight
+       FROM events WHERE user_id % 40 = 3"""
+)
+def staging_by_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged documents of some people, from the buckets of these; some were staged again."""
+    root = work_dir(spark, "staging")
+    docs = vitals_documents(vitals(spark, sf), built_at())
+    replace_staging(docs, root, "vitals")
+    clicks = load(spark, sf, "events").where("event_type = 'click'").select(F.col("event_id").alias("encounter_id"))
+    upsert_staging(restrict_to(docs, clicks, "encounter_id").withColumn("weight", F.lit(-1.0)), root, "vitals")
+    people = load(spark, sf, "events").where("user_id % 40 = 3").select(F.col("user_id").alias("person_id"))
+    return read_staging(spark, root, "vitals", people=people).select("doc_id", "person_id", "weight")
+
+
+@query(
+    """SELECT DISTINCT 'order-' || o_orderkey AS doc_id FROM orders
+       WHERE o_orderpriority = '1-URGENT' OR (o_orderstatus = 'F' AND o_orderpriority = '5-LOW')"""
+)
+def changes_since(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that commits after a full load wrote or removed, also after they were folded."""
+    table = staging_table(spark, work_dir(spark, "staging"), "orders")
+    docs, orders = order_docs(spark, sf), load(spark, sf, "orders")
+
+    def ids(condition: str) -> DataFrame:
+        return orders.where(condition).select(uuid("order", "o_orderkey").alias("doc_id"))
+
+    table.replace(docs)
+    seen = table.version()
+    table.upsert(restrict_to(docs, ids("o_orderpriority = '1-URGENT'"), "doc_id"))
+    table.delete(ids("o_orderstatus = 'F' AND o_orderpriority = '5-LOW'"))
+    table.compact()
+    return table.changes_since(seen)
+
+
+@query(
+    """SELECT user_id, event_id, ts, value FROM events WHERE event_type <> 'error'
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 10"""
+)
+def recent_ten_by_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten latest events of every person, kept up over four batches; the last one removes errors, recent ones among them."""
+    events = load(spark, sf, "events").select("user_id", "event_id", "ts", "value", "event_type")
+    part = F.col("event_id") % 3
+    store = RecentRows(spark, work_dir(spark, "recent"), "user_id", "ts", "event_id")
+    for number in range(4):
+        here = events.where(part == number) if number < 3 else events.where("event_type = 'error'").withColumn("_deleted", F.lit(True))
+        history = events.where(part <= number) if number < 3 else events.where("event_type <> 'error'")
+        store.merge(here, lambda people, rows=history: restrict_to(rows, people, "user_id"), "events", number)
+    return store.read().select("user_id", "event_id", "ts", "value")
+
+
+@query(
+    """SELECT 'nation-' || c_nationkey AS db, 'order-' || o_orderkey AS _id,
+              CASE WHEN o_orderstatus <> 'P' THEN '1-' || o_custkey END AS revision, o_orderstatus = 'F' AS removed,
+              CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS person_id
+       FROM orders JOIN customer ON o_custkey = c_custkey"""
+)
+def bulk_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and removals as JSON lines by database, in two batches of which the first is written twice."""
+    customer = load(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), uuid("nation", "c_nationkey").alias("db"))
+    docs = load(spark, sf, "orders").join(customer, "o_custkey").select(
+        "db",
+        uuid("order", "o_orderkey").alias("_id"),
+        F.when(F.col("o_orderstatus") != "P", uuid("1", "o_custkey")).alias("_rev"),
+        F.col("o_custkey").alias("person_id"),
+        (F.col("o_orderstatus") == "F").alias("_deleted"),
+        F.col("o_orderkey").alias("n"),
+    )
+    root = work_dir(spark, "bulk")
+    for batch, condition in (("first", "n % 2 = 0"), ("second", "n % 2 = 1"), ("first", "n % 2 = 0")):
+        write_bulk_files(docs.where(condition).drop("n"), root, batch, bulk_size=1_000)
+    line = F.from_json("value", row_type(_id="string", _rev="string", person_id="bigint", _deleted="boolean"))
+    return read_bulk_files(spark, root).select("db", line.alias("d")).select(
+        "db", "d._id", F.col("d._rev").alias("revision"), F.coalesce("d._deleted", F.lit(False)).alias("removed"), "d.person_id"
+    )
+
+
 # -- whole jobs -------------------------------------------------------------------------------
 
 

@@ -4,7 +4,8 @@ A group may hold a large part of the table. Representatives are plain aggregates
 the map side. Arrays grow with the group, so each array is dealt over rows by one rule for groups of
 any size: the element of rank r (from 0) in the declared order is in part ``r div part_rows``. Part 0
 always exists and carries the representatives, which further parts repeat. Nothing is dropped. Ranks of large groups
-come from counts by ranges of the order, so no task holds such a group unless it is alike in its order.
+come from prefix sums of the counts of ranges of their order, whose borders are sampled from the group itself, so no task holds
+such a group.
 """
 
 from __future__ import annotations
@@ -16,12 +17,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chartloom.columns import ColumnOrName, as_column, as_list, fields_struct
 from chartloom.session import written
 
 PART_ROWS = 10_000
+# A large array is ranked by at most this many tasks.
+RANGES = 256
 WHOLE = {"whole": True}
 
 
@@ -103,6 +105,16 @@ def _collected(nested: Nested) -> Column:
     return F.transform(F.sort_array(collect(nested.entry())), lambda x: x["e"]).alias(nested.name)
 
 
+def with_large_groups(frames: dict[str, tuple[DataFrame, str | Sequence[str]]], part_rows: int = PART_ROWS) -> set[str]:
+    """Names of the frames that may have a group of more than ``part_rows`` rows: one job over the key columns of all.
+
+    Keys are counted by their hash, which can only make a group look larger.
+    """
+    rows = [df.select(F.lit(name).alias("frame"), F.xxhash64(*as_list(keys)).alias("key")) for name, (df, keys) in frames.items()]
+    counts = reduce(DataFrame.unionByName, rows).groupBy("frame", "key").agg(F.count(F.lit(1)).alias("n"))
+    return {r.frame for r in counts.where(F.col("n") > part_rows).select("frame").distinct().collect()}
+
+
 def _crowded(df: DataFrame, keys: list[str], part_rows: int) -> DataFrame:
     return df.groupBy(*keys).count().where(F.col("count") > part_rows).select(*keys)
 
@@ -131,17 +143,16 @@ def _counted(df: DataFrame, keys: list[str], nested: Nested) -> DataFrame:
     return entries.groupBy(*keys, "__entry").agg(F.count(F.lit(1)).alias("__copies"))
 
 
-def _range(entry: Column, kind: T.DataType) -> Column:
-    """A coarse form of an entry that never decreases along its order."""
-    if isinstance(kind, T.StructType):
-        return _range(entry[kind.fields[0].name], kind.fields[0].dataType) if kind.fields else F.lit(0)
-    if isinstance(kind, T.StringType):
-        return F.substring(entry, 1, 8)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.to_date(entry)
-    if isinstance(kind, T.NumericType):
-        return F.floor(entry / 64)
-    return F.lit(0)
+def _borders(piles: DataFrame, keys: list[str], part_rows: int) -> DataFrame:
+    """Up to ``RANGES`` entries of every large array, in order, that cut it into ranges of similar numbers of entries.
+
+    They are sampled by the hash of the entry, so the sample is the same whenever it is taken, and follows the entries as they are:
+    however alike they begin, as on one day, they are spread.
+    """
+    drawn = piles.where(F.pmod(F.xxhash64("__entry"), F.lit(max(part_rows // 8, 1))) == 0)
+    found = drawn.groupBy(*keys).agg(F.sort_array(F.collect_set("__entry")).alias("__all"))
+    step = F.ceil(F.size("__all") / RANGES)
+    return found.select(*keys, F.filter("__all", lambda x, i: i % step == 0).alias("__borders"))
 
 
 def _large_arrays(
@@ -168,9 +179,11 @@ def _large_arrays(
 
 
 def _array_parts(df: DataFrame, keys: list[str], nested: Nested, part_rows: int) -> DataFrame:
-    """One array of large groups by part: elements are ranked by counts of ranges of the order and within their range."""
+    """One array of large groups by part: elements are ranked by the counts of earlier ranges and within their range."""
     piles = _counted(df, keys, nested)
-    piles = piles.withColumn("__range", _range(F.col("__entry"), piles.schema["__entry"].dataType))
+    borders = written(_borders(piles, keys, part_rows), "borders")
+    below = F.size(F.filter(F.coalesce("__borders", F.array()), lambda b: b <= F.col("__entry")))
+    piles = _with_keys(piles, borders, keys, "left").withColumn("__range", below).drop("__borders")
     by_range = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     counts = piles.groupBy(*keys, "__range").agg(F.sum("__copies").alias("__n"))
     counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(by_range), F.lit(0))).drop("__n")
@@ -193,7 +206,7 @@ def nest(
     firsts: dict[str, ColumnOrName] | None = None,
     order_by: Sequence[ColumnOrName] = (),
     part_rows: int = PART_ROWS,
-    at_most: DataFrame | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """One row per key with its nested arrays and the columns ``firsts`` of its first row.
 
@@ -201,8 +214,7 @@ def nest(
     small groups are one row. Whether there are large ones is asked of the key columns before the plan is
     made, so that the usual plan stays a single aggregation; the rows that come out are the same.
     A result of main rows only says so in the metadata of ``part`` (``is_whole``).
-    ``at_most`` is a frame with no fewer rows per key that is cheaper to ask, such as the table
-    before its joins.
+    ``large`` is the answer where it is known, as for several frames at once from ``with_large_groups``.
     """
     names = as_list(keys)
     first_cols = [pick_first(firsts, order_by).alias("__first")] if firsts else []
@@ -216,7 +228,9 @@ def nest(
             .select(*names, *head_cols, *array_names, F.lit(0).alias("part", metadata=WHOLE))
         )
 
-    if is_empty(_crowded(df if at_most is None else at_most, names, part_rows)):
+    if large is None:
+        large = bool(with_large_groups({"rows": (df, names)}, part_rows))
+    if not large:
         # Groups are small, and scattered over the input: arrays begun before the shuffle would
         # mostly hold one element, so rows are moved as they are.
         return whole(df.repartition(*names))
@@ -224,14 +238,14 @@ def nest(
     if sizes is None:
         return whole(df)
 
-    large = sizes.select(*names).distinct()
-    usual = whole(_with_keys(df, large, names, "left_anti"))
-    rows = _with_keys(df, large, names, "left_semi")
+    wide = sizes.select(*names).distinct()
+    usual = whole(_with_keys(df, wide, names, "left_anti"))
+    rows = _with_keys(df, wide, names, "left_semi")
     types = {f.name: f.dataType for f in usual.schema.fields}
     if firsts:
         heads = written(rows.groupBy(*names).agg(*first_cols).select(*names, *head_cols), "group-heads")
     else:
-        heads = large
+        heads = wide
     pieces = [written(_array_parts(rows, names, a, part_rows), "array-parts") for a in arrays]
     spine = heads.select(*names, F.lit(0).alias("part"))
     for piece in pieces:
@@ -253,11 +267,11 @@ def nest_set(
     name: str = "items",
     when: Column | None = None,
     part_rows: int = PART_ROWS,
-    at_most: DataFrame | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """Sorted array of the distinct elements of every key; rows failing ``when`` add none."""
     element = fields if isinstance(fields, Column) else fields_struct(fields)
-    return nest(df, keys, [Nested(name, element, when=when)], part_rows=part_rows, at_most=at_most)
+    return nest(df, keys, [Nested(name, element, when=when)], part_rows=part_rows, large=large)
 
 
 def nest_list(
@@ -268,9 +282,9 @@ def nest_list(
     name: str = "items",
     when: Column | None = None,
     part_rows: int = PART_ROWS,
-    at_most: DataFrame | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """Array of all elements of every key in the given order, copies included."""
     element = fields if isinstance(fields, Column) else fields_struct(fields)
     array = Nested(name, element, when=when, distinct=False, order_by=tuple(order_by))
-    return nest(df, keys, [array], part_rows=part_rows, at_most=at_most)
+    return nest(df, keys, [array], part_rows=part_rows, large=large)

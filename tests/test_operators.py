@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -192,5 +193,20 @@ def test_several_arrays_and_first_values(rows, part_rows):
 def test_a_cheaper_bound_gives_the_same(rows, skewed):
     df = rows("k int, a int, b int", *skewed)
     plain = nest_list(df, "k", F.struct("a", "b"), name="x", part_rows=50)
-    bounded = nest_list(df, "k", F.struct("a", "b"), name="x", part_rows=50, at_most=df)
+    bounded = nest_list(df, "k", F.struct("a", "b"), name="x", part_rows=50, large=True)
     assert put_together(plain, "x") == put_together(bounded, "x")
+
+
+def test_one_day_is_spread(rows):
+    from chartloom.operators import nesting
+
+    day = datetime(2020, 1, 1)
+    df = rows("k int, t timestamp, v string", *[(1, day, f"the same beginning {i:05}") for i in range(3000)])
+    array = Nested("x", F.struct("t", "v"), distinct=False, order_by=("t",))
+    piles = nesting._counted(df, ["k"], array)
+    (row,) = nesting._borders(piles, ["k"], 80).collect()
+    entries = [b["e"]["v"] for b in row["__borders"]]
+    assert 100 <= len(entries) <= nesting.RANGES and entries == sorted(entries)
+    got = nest_list(df, "k", F.struct("v"), ["t"], "x", part_rows=80).orderBy("part").collect()
+    assert [e.v for r in got for e in r.x] == [f"the same beginning {i:05}" for i in range(3000)]
+    assert [len(r.x) for r in got] == [80] * 37 + [40]

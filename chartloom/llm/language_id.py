@@ -15,13 +15,13 @@ Without any labelled row every text is ``und``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +39,7 @@ RATE = 0.5
 LOSS = 0.001
 THRESHOLD = 0.5
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.array([b if b >= 128 or 97 <= b < 123 else 32 for b in range(256)], np.uint8)
 
 

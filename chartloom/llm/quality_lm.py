@@ -13,8 +13,8 @@ table lacks is read from the whole table. So a task holds no more than the n-gra
 
 The bands lie ``BELOW`` and ``ABOVE`` times the distance from the median to the lower and to the upper quartile (each at
 least ``WIDTH``) from the median of the logarithm of the perplexity, over all documents of a language that pass the
-counts and have as many words to the power of two, since short texts vary more; if these are fewer than ``LEAST_ALIKE``,
-over all of the language. Texts outside are rejected, above as garbled, below as repetitive.
+counts and have as many words to the power of two, since short texts vary more; the fewer these are, the more their
+band is drawn towards that of the language (half way at ``ALIKE`` documents). Texts outside are rejected, above as garbled, below as repetitive.
 
 Null languages are one language of their own. Null and empty texts have no words and fail the counts.
 Equal rows are judged alike, each on its own; other columns are not read.
@@ -40,7 +40,7 @@ ORDER = 5
 HELD = 1_000_000  # different n-grams that a task gathers before it passes them on
 BELOW, ABOVE = 4.0, 3.5
 WIDTH = 0.02
-LEAST_ALIKE = 50  # documents of a language and size that have bands of their own
+ALIKE = 50  # documents of a language and size at which their own band and that of the language count alike
 LEAST_WORDS = 50
 
 _SYMBOL = np.zeros(256, bool)
@@ -383,7 +383,14 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     same = F.col("lang").eqNullSafe(F.col("own_lang"))
     # One row a language, and some twenty a language.
     judged = rows.join(F.broadcast(_bands(fit, "lang").drop("n")), same, "left").drop("own_lang")
-    sized = _bands(fit, "lang", "size").where(F.col("n") >= LEAST_ALIKE).withColumnRenamed("band", "own_band")
-    judged = judged.join(F.broadcast(sized), same & (F.col("size") == F.col("own_size")), "left").withColumn("band", F.coalesce("own_band", "band"))
-    inside = F.col("log_perplexity").between(F.col("band.lowest"), F.col("band.highest"))
+    sized = _bands(fit, "lang", "size").withColumnRenamed("band", "own_band")
+    judged = judged.join(F.broadcast(sized), same & (F.col("size") == F.col("own_size")), "left")
+    # The band of few documents is drawn towards that of their language, without a jump at any number.
+    weight = F.coalesce(F.col("n") / (F.col("n") + ALIKE), F.lit(0.0))
+
+    def drawn(side: str) -> Column:
+        whole = F.col("band")[side]
+        return whole + weight * (F.coalesce(F.col("own_band")[side], whole) - whole)
+
+    inside = F.col("log_perplexity").between(drawn("lowest"), drawn("highest"))
     return judged.select("doc_id", *BASE, "log_perplexity", "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"))

@@ -32,9 +32,9 @@ from chartloom.llm.rows import texts
 
 PER_LABEL = 5000
 SHORTEST, LONGEST = 4, 7  # letters of a word beginning
-TIMES, SHARE = 4, 0.015  # toxic texts that must have an entry: a number, and a share of those learned from
+TIMES = 4  # texts that an entry must be in to be looked at
 ODDS = 3.0  # log odds from which an entry is an insult
-ENTRIES = 20_000
+SURE, CERTAIN = 1.645, 2.0  # standard errors below the log odds, and what is left must reach this
 LEARN = 0.7  # share of the sample for the lexicon; the rest fits the curve
 SCOPE = 3
 NEGATED, REPORTED, AIMED = 0.5, 0.7, 1.2
@@ -48,7 +48,7 @@ THREATS = frozenset("kill destroy hurt burn beat crush töten vernichten verbren
 TARGETS = frozenset("you your yours yourself du dich dir dein ihr euch tu te toi ton vous votre tú ti tuyo usted vosotros".split())
 NEGATIONS = frozenset("not no never neither without nicht kein keine nie ohne pas jamais sans aucun nunca sin ningún jamás".split())
 INSULTS = frozenset(
-    "idiot moron stupid loser scum trash clown pathetic worthless disgusting dumb fool jerk coward "
+    "dumb fool jerk coward "
     "dumm blödmann trottel abschaum arschloch idiotin versager feigling "
     "imbécile crétin débile ordure connard minable salaud "
     "idiota estúpido imbécil escoria basura cobarde patético".split()
@@ -230,13 +230,17 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "doc
     learn = rows.where("learn").select("text", "toxic").distinct()
     sizes = dict(learn.groupBy("toxic").count().collect())
     counted = learn.mapInArrow(_entries, "entry string, toxic long").groupBy("entry").agg(F.sum("toxic").alias("p"), F.count("*").alias("n"))
-    times = max(TIMES, math.ceil(SHARE * sizes.get(1, 0)))
-    frequent = counted.where(F.col("n") >= times).withColumn("odds", F.log((F.col("p") + 0.5) / (sizes.get(1, 0) + 1)) - F.log((F.col("n") - F.col("p") + 0.5) / (sizes.get(0, 0) + 1)))
-    marking = frequent.where((F.col("p") >= times) & (F.col("odds") >= ODDS)).orderBy(F.desc("odds"), "entry").limit(ENTRIES)
+    toxic, other = F.lit(sizes.get(1, 0)), F.lit(sizes.get(0, 0))
+    clean = F.col("n") - F.col("p")
+    odds = F.log((F.col("p") + 0.5) / (toxic + 1)) - F.log((clean + 0.5) / (other + 1))
+    error = F.sqrt(1 / (F.col("p") + 0.5) + 1 / (clean + 0.5))
+    frequent = counted.where(F.col("n") >= TIMES).withColumns({"odds": odds, "sure": odds - SURE * error})
+    # Words of a sample of about 2 * per_label texts: what is collected does not grow with the tables.
+    marking = frequent.where((F.col("odds") >= ODDS) & (F.col("sure") >= CERTAIN))
     found = [(r.entry, r.p, r.n) for r in marking.collect()]
     # Exceptions are only looked for below the entries found.
     heads = {e.removesuffix("*")[:SHORTEST] for e, _, _ in found if e.endswith("*")}
-    plain = frequent.where((F.col("odds") < ODDS / 2) & F.substring("entry", 1, SHORTEST).isin(sorted(heads))).orderBy(F.desc("n"), "entry").limit(ENTRIES) if heads else None
+    plain = frequent.where((F.col("odds") < ODDS / 2) & F.substring("entry", 1, SHORTEST).isin(sorted(heads))) if heads else None
     model = lexicon(found + ([(r.entry, r.p, r.n) for r in plain.collect()] if plain is not None else []), sizes.get(1, 0), sizes.get(0, 0))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

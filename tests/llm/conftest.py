@@ -20,3 +20,10 @@ def documents(spark):
         return spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, version string").repartition(parts)
 
     return make
+
+
+@pytest.fixture(scope="session")
+def alike_words():
+    """Two different words of 1,024 bytes whose polynomial sums modulo 2**64 are equal for any odd base."""
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

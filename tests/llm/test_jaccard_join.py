@@ -100,3 +100,9 @@ def test_buckets_over_batches(monkeypatch):
                 assert names in held.values() or all((n, min(names)) in stars for n in names - {min(names)})
             elif len(names) > limit:
                 assert all((n, min(names)) in stars for n in names - {min(names)})
+
+
+def test_words_that_differ_are_told_apart(documents, alike_words):
+    docs = [*enumerate(alike_words), (5, alike_words[0]), (6, "a b c"), (7, f"{alike_words[1]} x y"), (8, f"{alike_words[0]} x y")]
+    got = jj.link(documents(*docs), 3, 90).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(docs, 3, 90)

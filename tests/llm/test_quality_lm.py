@@ -81,6 +81,13 @@ def test_few_grams_are_kept_when_there_are_more(spark):
     assert np.isclose(model.chance(np.arange(256, dtype=np.uint64)).sum(), 1)
 
 
+def test_lines_and_words_that_differ_are_told_apart(spark, alike_words):
+    one, two = alike_words
+    docs = spark.createDataFrame([(1, f"{one}\n{two}\n{one}", "en"), (2, f"{one} x y {two} x y {one} x y", "en")], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.n_words, r.n_dup_lines, r.n_repeat_words) for r in quality_lm.measure(docs).collect()}
+    assert got == {1: (3, 1, 0), 2: (9, 0, 6)}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert quality_lm.judge(docs).collect() == []

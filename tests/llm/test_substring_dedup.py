@@ -59,3 +59,11 @@ def test_same_as_brute_force(documents, seed):
 
 def test_empty_table(documents):
     assert substring_dedup.remove_repeats(documents((1, "x")).limit(0)).collect() == []
+
+
+def test_words_that_differ_are_told_apart(documents, alike_words):
+    words = [f"w{k}" for k in range(60)]
+    docs = [(k, " ".join([*words[:30], own, *words[30:]])) for k, own in enumerate(alike_words)]
+    docs += [(2, docs[0][1])]
+    got = substring_dedup.remove_repeats(documents(*docs)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, (r.kept or b"").decode() if isinstance(r.kept, (bytes, bytearray)) else r.kept) for r in got), key=repr) == brute(docs)

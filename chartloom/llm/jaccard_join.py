@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from chartloom.llm.components import components
 from chartloom.llm.rows import LAST_ID, keyed
-from chartloom.llm.texts import LOWER, Piece, byte_sums, mix, pieces, signed, span_hash, words
+from chartloom.llm.texts import LOWER, Piece, long_hash, long_sums, mix, pieces, signed, words
 from chartloom.session import written
 
 DIMENSIONS = 128
@@ -51,7 +51,7 @@ def shingle_sets(piece: Piece, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     data = LOWER[piece.data]
     found = words(data, piece.offsets)
-    names = span_hash(byte_sums(data), found.start, found.end)
+    names = long_hash(long_sums(data), found.start, found.end)
     out = []
     for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
         n = b - a

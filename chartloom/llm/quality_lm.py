@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.texts import LOWER, WORD_BYTE, Piece, byte_sums, mix, pieces, span_hash, words
+from chartloom.llm.texts import LOWER, WORD_BYTE, Piece, long_hash, long_sums, mix, pieces, words
 from chartloom.session import work_dir, written
 
 ORDER = 5
@@ -60,8 +60,8 @@ def base_counts(piece: Piece) -> dict[str, np.ndarray]:
     """Words, code points in words, symbols, repeated lines and words in repeated 3-word windows, by text."""
     data, offsets, n = piece.data, piece.offsets, len(piece)
     found = words(data, offsets)
-    sums = byte_sums(data)
-    names = span_hash(sums, found.start, found.end)
+    sums = long_sums(data)
+    names = long_hash(sums, found.start, found.end)
     row = found.row()
     first_bytes = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     chars = np.bincount(row, first_bytes[found.end] - first_bytes[found.start], n).astype(np.int64)
@@ -72,7 +72,7 @@ def base_counts(piece: Piece) -> dict[str, np.ndarray]:
     # A text's last line ends where the next text begins, so both lists are in the same order.
     line_row = np.repeat(np.arange(n), np.diff(np.searchsorted(breaks, offsets)) + 1)
     has_word = np.searchsorted(found.start, end) > np.searchsorted(found.start, start)
-    key = mix(span_hash(sums, start, end) + line_row.astype(np.uint64) * _ROW)[has_word]
+    key = mix(long_hash(sums, start, end) + line_row.astype(np.uint64) * _ROW)[has_word]
     _, once = np.unique(key, return_index=True)
     owner = line_row[has_word]
     repeated = np.bincount(owner, minlength=n) - np.bincount(owner[once], minlength=n)
@@ -97,7 +97,7 @@ def word_grams(piece: Piece, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     found = words(data, piece.offsets)
     row = found.row()
     own = lang[row]
-    names = mix(span_hash(byte_sums(data), found.start, found.end) + own.astype(np.uint64) * _ROW)
+    names = mix(long_hash(long_sums(data), found.start, found.end) + own.astype(np.uint64) * _ROW)
     _, first, which, times = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
     begin, size = found.start[first], (found.end - found.start)[first]
     # Each word: four empty bytes, its bytes, a space.

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm import repeats
-from chartloom.llm.texts import Piece, byte_sums, mix, pieces, prefix_hash, signed, span_hash, words
+from chartloom.llm.texts import Piece, long_hash, long_sums, mix, pieces, prefix_hash, signed, span_hash, words
 from chartloom.session import written
 
 WINDOW = 50
@@ -69,8 +69,8 @@ def symbols(names: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _word_names(piece: Piece) -> tuple:
     found = words(piece.data, piece.offsets)
-    sums = byte_sums(piece.data)
-    return found, span_hash(sums, found.start, found.end)
+    sums = long_sums(piece.data)
+    return found, long_hash(sums, found.start, found.end)
 
 
 def _find(piece: Piece):

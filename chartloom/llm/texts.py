@@ -22,13 +22,16 @@ WORD_BYTE = ~_SEPARATOR  # of `[^\x20\x09-\x0D]+`
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32  # A-Z only
 
-_P = np.uint64((1 << 31) - 1)  # a prime; sums modulo a power of two are equal for some pairs of texts whatever their base
-_SHIFT = np.uint64(31)
 _rng = np.random.default_rng(20240229)
+_BASE = np.uint64(0x9E3779B97F4A7C13)  # 3 modulo 8
+_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_powers = np.ones(1, np.uint64)
+_inverse = np.ones(1, np.uint64)
+_P = np.uint64((1 << 31) - 1)  # a prime
+_SHIFT = np.uint64(31)
 _BASES = [int(x) for x in _rng.integers(1 << 29, int(_P), 2)]
-_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers = [np.ones(1, np.uint64) for _ in _BASES]
-_inverse = [np.ones(1, np.uint64) for _ in _BASES]
+_prime_powers = [np.ones(1, np.uint64) for _ in _BASES]
+_prime_inverse = [np.ones(1, np.uint64) for _ in _BASES]
 
 
 @dataclass
@@ -69,6 +72,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _grow(n: int) -> None:
+    global _powers, _inverse
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    while len(_powers) < n:
+        k = len(_powers)
+        _powers = np.concatenate([_powers, _powers * np.uint64(pow(int(_BASE), k, 1 << 64))])
+        _inverse = np.concatenate([_inverse, _inverse * np.uint64(pow(int(inverse), k, 1 << 64))])
+
+
+def prefix_hash(values: np.ndarray) -> np.ndarray:
+    """Polynomial sums modulo 2**64, from which ``span_hash`` takes the hash of a span of a few hundred items.
+
+    From 1,024 items on there are pairs of spans whose sums are equal whatever the base; ``long_hash`` is for these.
+    """
+    _grow(len(values) + 1)
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers[: len(values)], out=out[1:])
+    return out
+
+
+def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix((sums[end] - sums[start]) * _inverse[start])
+
+
 def _fold(x: np.ndarray) -> np.ndarray:
     """A smaller number that is equal modulo the prime: below 2**33 for any, below 2**32 for products of reduced ones."""
     return (x & _P) + (x >> _SHIFT)
@@ -79,29 +106,26 @@ def _reduced(x: np.ndarray) -> np.ndarray:
     return np.where(x >= _P, x - _P, x)
 
 
-def _grow(n: int) -> None:
+def _grow_prime(n: int) -> None:
     for own, base in enumerate(_BASES):
-        for table, factor in ((_powers, base), (_inverse, pow(base, -1, int(_P)))):
+        for table, factor in ((_prime_powers, base), (_prime_inverse, pow(base, -1, int(_P)))):
             while len(table[own]) < n:
                 step = np.uint64(pow(factor, len(table[own]), int(_P)))
                 table[own] = np.concatenate([table[own], _reduced(table[own] * step)])
 
 
-def prefix_hash(values: np.ndarray) -> np.ndarray:
-    """Polynomial sums modulo a prime with two bases, from which ``span_hash`` takes the hash of any span.
-
-    The two rows are over different bits of the values, 62 of them in all.
-    """
-    n = len(values)
-    _grow(n + 1)
+def long_sums(data: np.ndarray) -> np.ndarray:
+    """Polynomial sums of bytes modulo a prime with two bases, from which ``long_hash`` takes the hash of any span."""
+    values, n = _CODE[data], len(data)
+    _grow_prime(n + 1)
     out = np.zeros((2, n + 1), np.uint64)
     for own, bits in enumerate((values & _P, (values >> _SHIFT) & _P)):
-        np.cumsum(_fold(bits * _powers[own][:n]), out=out[own, 1:])
+        np.cumsum(_fold(bits * _prime_powers[own][:n]), out=out[own, 1:])
     return out
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    low, high = (_reduced(_reduced(s[end] - s[start]) * t[start]) for s, t in zip(sums, _inverse, strict=True))
+def long_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    low, high = (_reduced(_reduced(s[end] - s[start]) * t[start]) for s, t in zip(sums, _prime_inverse, strict=True))
     return mix(low | high << np.uint64(32))
 
 

@@ -2,10 +2,10 @@
 
 A byte is in a copy if a window of ``LENGTH`` bytes around it also occurs at another place. Marks of
 sampled anchors (see ``repeats``) tell which windows can occur twice, and bring them together. There
-the suffixes that begin with these windows are sorted. In suffix order, the previous and the next
-suffix with a smaller position give the longest earlier match of each suffix (its previous factor);
-with the order of positions turned round, the longest later match. Only the first ``LENGTH`` bytes of a
-suffix are compared, since no longer match is asked for.
+the pieces of text with these windows are gathered, and all their suffixes are sorted whole, by prefix
+doubling. In suffix order, the previous and the next suffix with a smaller position give the longest
+earlier match of each suffix (its previous factor); with the order of positions turned round, the
+longest later match. Factors of ``LENGTH`` bytes or more are the copies.
 
 With ``keep="first"`` a window goes if it has an earlier match (by id, then place), so that the first
 copy stays; with ``keep="none"`` if it has any other match. Matches never cross documents, overlapping
@@ -15,7 +15,7 @@ copies of each other; other columns are not read. Cut characters are not mended:
 
 Windows of one mark are sorted in one task. Equal stretches of text are one class and sorted once, so
 copies do not add to it; a mark of more than ``CROWD`` classes has its windows dealt out singly, by a
-hash of their bytes, after those that occur once are left out. If a window occurs in more than ``CROWD`` classes, its
+hash of their bytes, after those that occur once are left out; of such a window only the first suffix is asked for. If a window occurs in more than ``CROWD`` classes, its
 places go to several tasks, and the first place of all goes to each of them.
 """
 
@@ -35,7 +35,8 @@ from chartloom.session import written
 LENGTH = 200
 ANCHOR = 48  # bytes that all windows of a piece share
 CROWD = 4096  # classes of a mark, or windows of a hash, that one task sorts
-SORTED_BYTES = 24 << 20  # windows sorted at a time, unless one mark has more
+SORTED_BYTES = 1 << 19  # text whose suffixes are sorted at a time, unless one mark has more; some 80 bytes each
+PACKED = 7  # bytes of the first ranks, nine bits each
 
 
 def _find(piece: Piece):
@@ -78,19 +79,81 @@ def previous_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
     return best
 
 
-def repeated_windows(windows: np.ndarray, place: np.ndarray, keep: str) -> np.ndarray:
-    """Which of the windows (rows of bytes) have an earlier match of full length, or any other."""
-    length = windows.shape[1]
-    order = np.lexsort((place, np.ascontiguousarray(windows).view(f"S{length}").ravel()))
+def suffix_order(texts: list[bytes], sizes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the first ``sizes`` suffixes of each text, equal ones by place, and the prefix that each has in common with the one before.
+
+    All suffixes are sorted whole, by prefix doubling: from the ranks by so many bytes, and those of the rest, come the ranks
+    by twice as many. An end is less than any byte. Ranks of all rounds are kept; from them, longest first, come common prefixes.
+    """
+    lengths = np.array([len(t) for t in texts])
+    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+    n = len(data)
+    ends = np.cumsum(lengths + 1) - 1
+    code = data.astype(np.int64) + 1
+    code[ends] = 0
+    end = np.repeat(ends, lengths + 1)
+    every = np.arange(n)
+    key = code.copy()
+    for k in range(1, PACKED):
+        key = (key << 9) | code[np.minimum(every + k, end)]
+    rank, todo = _refined(np.zeros(n, np.int64), every, key)
+    ranks, span = [rank], PACKED
+    while len(todo := todo[end[todo] - todo >= span]):
+        rank, todo = _refined(rank, todo, rank[todo] * (n + 1) + rank[np.minimum(todo + span, end[todo])])
+        ranks.append(rank)
+        span *= 2
+    begins = ends - lengths
+    at = np.repeat(begins, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.lexsort((place, rank[at]))
+    one, other = at[order[:-1]], at[order[1:]]
+    stop, other_stop = end[one], end[other]
+    shared = np.zeros(len(one), np.int64)
+    for rank in reversed(ranks):
+        span = PACKED << (len(ranks) - 1)
+        shared += span * (rank[np.minimum(one + shared, stop)] == rank[np.minimum(other + shared, other_stop)])
+        ranks.pop()
+    go = np.ones(len(one), bool)
+    for _ in range(PACKED - 1):
+        go &= code[np.minimum(one + shared, stop)] == code[np.minimum(other + shared, other_stop)]
+        shared += go
+    return order, np.concatenate([[0], np.minimum(shared, np.minimum(stop - one, other_stop - other))])
+
+
+def _refined(rank: np.ndarray, todo: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks after those of ``todo``, which holds whole groups of one rank, are told apart by their keys; the ones still equal to others.
+
+    A rank is the number of suffixes before its group.
+    """
+    order = np.argsort(key)
+    todo, key, old = todo[order], key[order], rank[todo[order]]
+    number = np.arange(len(todo))
+    new, turn = np.ones(len(todo), bool), np.ones(len(todo), bool)
+    new[1:], turn[1:] = key[1:] != key[:-1], old[1:] != old[:-1]
+    first = np.maximum.accumulate(np.where(new, number, 0))
+    rank = rank.copy()
+    rank[todo] = old + first - np.maximum.accumulate(np.where(turn, number, 0))
+    alone = new.copy()
+    alone[:-1] &= new[1:]
+    return rank, todo[~alone]
+
+
+def window_order(texts: list[bytes], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for single windows of ``LENGTH`` bytes, of which no other suffix is asked for."""
+    windows = np.frombuffer(b"".join(texts), np.uint8).reshape(-1, LENGTH)
+    order = np.lexsort((place, windows.view(f"S{LENGTH}").ravel()))
     rows = windows[order]
     differ = rows[1:] != rows[:-1]
-    common = np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), length)])
+    return order, np.concatenate([[0], np.where(differ.any(axis=1), differ.argmax(axis=1), LENGTH)])
+
+
+def matched(order: np.ndarray, common: np.ndarray, place: np.ndarray, keep: str) -> np.ndarray:
+    """Which suffixes have a previous factor of ``LENGTH`` bytes or more, or a later one if none is to be kept."""
     ranks = place[order]
-    match = previous_factors(ranks, common) >= length
+    long = previous_factors(ranks, common) >= LENGTH
     if keep == "none":
-        match |= previous_factors(-ranks, common) >= length
-    out = np.zeros(len(windows), bool)
-    out[order] = match
+        long |= previous_factors(-ranks, common) >= LENGTH
+    out = np.zeros(len(order), bool)
+    out[order] = long
     return out
 
 
@@ -102,37 +165,36 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = piece.offsets[k]
             for w in wanted:
                 a = begin + w["first"] + w["step"]
-                rows.append((w["route"], w["mark"], w["piece"], w["doc"], w["version"], w["first"], w["step"], w["n"], piece.data[a : a + w["size"] - 1 + LENGTH].tobytes()))
+                rows.append((w["route"], w["mark"], w["piece"], w["doc"], w["version"], w["first"], w["step"], w["n"], w["single"], piece.data[a : a + w["size"] - 1 + LENGTH].tobytes()))
         columns = list(zip(*rows, strict=True))
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array(c, pa.int64()) for c in columns[:6]), pa.array(columns[6], pa.int32()), pa.array(columns[7], pa.int64()), pa.array(columns[8], pa.binary())],
-            ["route", "mark", "piece", "doc", "version", "first", "step", "n", "bytes"],
+            [
+                *(pa.array(c, pa.int64()) for c in columns[:6]),
+                *(pa.array(c, t) for c, t in zip(columns[6:], (pa.int32(), pa.int64(), pa.bool_(), pa.binary()), strict=True)),
+            ],
+            [c.split()[0] for c in _CUT.split(", ")],
         )
 
 
-_CUT = "route long, mark long, piece long, doc long, version long, first long, step int, n long, bytes binary"
+_CUT = "route long, mark long, piece long, doc long, version long, first long, step int, n long, single boolean, bytes binary"
 
 
 def _sorter(keep: str, sorted_bytes: int):
     """Matches within each route; the rows of a route come one after another."""
 
-    def matches(rows: list[tuple]) -> pa.RecordBatch:
-        mark, piece, doc, version, first, step, n, texts = (list(c) for c in zip(*[r[1:] for r in rows], strict=True))
+    def matches(rows: list[tuple], single: bool) -> pa.RecordBatch:
+        if single:
+            # A window sent to several routes that are sorted together is one place.
+            rows = list({(r[3], r[4], r[5] + r[6]): r for r in rows}.values())
+        mark, piece, doc, version, first, step, n, _, texts = (list(c) for c in zip(*[r[1:] for r in rows], strict=True))
         sizes = np.array([len(t) - LENGTH + 1 for t in texts])
-        windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(t, np.uint8), LENGTH) for t in texts])
         owner = np.repeat(np.arange(len(rows)), sizes)
-        inner = np.arange(len(windows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.array(step)[owner]
-        keys = np.array([np.array(version)[owner], inner + np.array(first)[owner], np.array(doc)[owner]])
-        by_place = np.lexsort(keys)
-        # A window sent to several routes that are sorted together is one place.
-        again = (keys[:, by_place[1:]] == keys[:, by_place[:-1]]).all(axis=0)
-        if again.any():
-            once = np.sort(np.concatenate([by_place[:1], by_place[1:][~again]]))
-            windows, owner, inner = windows[once], owner[once], inner[once]
-            by_place = np.lexsort(keys[:, once])
-        place = np.empty(len(windows), np.int64)
-        place[by_place] = np.arange(len(windows))
-        found = np.flatnonzero(repeated_windows(windows, place, keep))
+        inner = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.array(step)[owner]
+        by_place = np.lexsort((np.array(version)[owner], inner + np.array(first)[owner], np.array(doc)[owner]))
+        place = np.empty(len(owner), np.int64)
+        place[by_place] = np.arange(len(owner))
+        order, common = window_order(texts, place) if single else suffix_order(texts, sizes, place)
+        found = np.flatnonzero(matched(order, common, place, keep))
         owner, inner = owner[found], inner[found]
         begins = np.ones(len(found), bool)
         begins[1:] = (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)
@@ -149,19 +211,24 @@ def _sorter(keep: str, sorted_bytes: int):
             ["mark", "piece", "n", "from", "to"],
         )
 
+    def done(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        # Single windows have routes of their own, so they match none of the others.
+        for single in (False, True):
+            if own := [r for r in rows if r[8] == single]:
+                yield matches(own, single)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held, route = 0, None
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("route", "mark", "piece", "doc", "version", "first", "step", "n", "bytes")], strict=True):
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if held > sorted_bytes and row[0] != route:
-                    yield matches(rows)
+                    yield from done(rows)
                     rows, held = [], 0
                 route = row[0]
                 rows.append(row)
-                held += (len(row[-1]) - LENGTH + 1) * LENGTH
-        if rows:
-            yield matches(rows)
+                held += len(row[-1])
+        yield from done(rows)
 
     return run
 
@@ -217,7 +284,7 @@ def _dealt(source: DataFrame, many: DataFrame, crowd: int) -> DataFrame:
         least = placed(shared).groupBy("hash", "parts").agg(F.min(F.struct("doc", (F.col("first") + F.col("step")).alias("place"), "version", "first", "step", "mark", "piece", "n", "part")).alias("at"))
         sent = least.select("hash", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).where("part <> at.part")
         single = single.unionByName(sent.select("hash", "part", *(F.col(f"at.{c}").alias(c) for c in columns[2:])))
-    return single.select(*columns[2:], F.xxhash64("hash", "part").alias("route")).withColumn("size", F.lit(1))
+    return single.select(*columns[2:], F.xxhash64("hash", "part").alias("route")).withColumns({"size": F.lit(1), "single": F.lit(True)})
 
 
 def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD, sorted_bytes: int = SORTED_BYTES) -> DataFrame:
@@ -236,9 +303,9 @@ def remove_copies(docs: DataFrame, keep: str = "first", doc_id: str = "doc_id",
     within = own.select("doc", "version", start.alias("start"), stop.alias("stop")).where(f"stop - start >= {LENGTH}")
     # Between classes of a mark: by suffix order.
     head = crowded.select(F.col("at.doc").alias("doc"), F.col("at.version").alias("version"), F.col("at.first").alias("first"), F.col("at.size").alias("size"), "mark", "piece", "n", "others")
-    plain = head.where(F.col("others") <= crowd).withColumns({"route": F.col("mark"), "step": F.lit(0)})
+    plain = head.where(F.col("others") <= crowd).withColumns({"route": F.col("mark"), "step": F.lit(0), "single": F.lit(False)})
     many = head.where(F.col("others") > crowd)
-    columns = ["route", "mark", "piece", "doc", "version", "first", "step", "size", "n"]
+    columns = ["route", "mark", "piece", "doc", "version", "first", "step", "size", "n", "single"]
     wanted = plain.select(*columns)
     if not many.isEmpty():
         wanted = wanted.unionByName(_dealt(source, many, crowd).select(*columns))

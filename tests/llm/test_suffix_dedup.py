@@ -86,3 +86,19 @@ def test_previous_factors():
 
 def test_empty_table(documents):
     assert suffix_dedup.remove_copies(documents((1, "x")).limit(0)).collect() == []
+
+
+def test_suffix_order():
+    """Texts of one batch: whole suffixes, equal ones by place, with the prefixes that neighbours share."""
+    rng = random.Random(4)
+    for turn in range(60):
+        texts = [bytes(rng.choice(b"\0a\xff") if turn % 2 else rng.choice(b"ab") for _ in range(rng.randint(1, 60))) for _ in range(rng.randint(1, 6))]
+        texts += [texts[0], b"a" * rng.randint(1, 90)]
+        sizes = np.array([rng.randint(1, len(t)) for t in texts])
+        suffixes = [t[k:] for t, size in zip(texts, sizes) for k in range(size)]
+        place = np.array(rng.sample(range(len(suffixes)), len(suffixes)))
+        order, common = suffix_dedup.suffix_order(texts, sizes, place)
+        want = sorted(range(len(suffixes)), key=lambda k: (suffixes[k], place[k]))
+        assert order.tolist() == want
+        shared = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+        assert common.tolist() == [0] + [shared(suffixes[a], suffixes[b]) for a, b in zip(want, want[1:])]

@@ -35,7 +35,7 @@ from chartloom.session import written
 LENGTH = 200
 ANCHOR = 48  # bytes that all windows of a piece share
 CROWD = 4096  # classes of a mark, or windows of a hash, that one task sorts
-SORTED_BYTES = 1 << 19  # text whose suffixes are sorted at a time, unless one mark has more; some 80 bytes each
+SORTED_BYTES = 1 << 17  # text whose suffixes are sorted at a time, unless one mark has more; some 80 bytes each
 PACKED = 7  # bytes of the first ranks, nine bits each
 
 
@@ -82,8 +82,8 @@ def previous_factors(place: np.ndarray, common: np.ndarray) -> np.ndarray:
 def suffix_order(texts: list[bytes], sizes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the first ``sizes`` suffixes of each text, equal ones by place, and the prefix that each has in common with the one before.
 
-    All suffixes are sorted whole, by prefix doubling: from the ranks by so many bytes, and those of the rest, come the ranks
-    by twice as many. An end is less than any byte. Ranks of all rounds are kept; from them, longest first, come common prefixes.
+    All suffixes are sorted whole, by prefix doubling, with a factor of three: from the ranks by so many bytes, and those of the next ones,
+    come the ranks by three times as many. An end is less than any byte. Ranks of all rounds are kept; from them, longest first, come common prefixes.
     """
     lengths = np.array([len(t) for t in texts])
     data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
@@ -92,16 +92,21 @@ def suffix_order(texts: list[bytes], sizes: np.ndarray, place: np.ndarray) -> tu
     code = data.astype(np.int64) + 1
     code[ends] = 0
     end = np.repeat(ends, lengths + 1)
-    every = np.arange(n)
-    key = code.copy()
-    for k in range(1, PACKED):
-        key = (key << 9) | code[np.minimum(every + k, end)]
-    rank, todo = _refined(np.zeros(n, np.int64), every, key)
+    key, inside = code << 9 * (PACKED - 1), code > 0
+    for k in range(1, min(PACKED, n)):
+        inside = inside[:-1] & (code[k:] > 0)
+        key[: n - k] |= (code[k:] * inside) << 9 * (PACKED - 1 - k)
+    rank, todo = _refined(np.zeros(n, np.int64), np.arange(n), key)
     ranks, span = [rank], PACKED
+    # As many ranks as a key of 63 bits holds.
+    fold = 3 if n < 1 << 21 else 2
     while len(todo := todo[end[todo] - todo >= span]):
-        rank, todo = _refined(rank, todo, rank[todo] * (n + 1) + rank[np.minimum(todo + span, end[todo])])
+        key = rank[todo]
+        for k in range(1, fold):
+            key = key * (n + 1) + rank[np.minimum(todo + k * span, end[todo])]
+        rank, todo = _refined(rank, todo, key)
         ranks.append(rank)
-        span *= 2
+        span *= fold
     begins = ends - lengths
     at = np.repeat(begins, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     order = np.lexsort((place, rank[at]))
@@ -109,9 +114,11 @@ def suffix_order(texts: list[bytes], sizes: np.ndarray, place: np.ndarray) -> tu
     stop, other_stop = end[one], end[other]
     shared = np.zeros(len(one), np.int64)
     for rank in reversed(ranks):
-        span = PACKED << (len(ranks) - 1)
-        shared += span * (rank[np.minimum(one + shared, stop)] == rank[np.minimum(other + shared, other_stop)])
-        ranks.pop()
+        go = np.arange(len(one))
+        for _ in range(fold - 1):
+            go = go[rank[np.minimum(one[go] + shared[go], stop[go])] == rank[np.minimum(other[go] + shared[go], other_stop[go])]]
+            shared[go] += span
+        span //= fold
     go = np.ones(len(one), bool)
     for _ in range(PACKED - 1):
         go &= code[np.minimum(one + shared, stop)] == code[np.minimum(other + shared, other_stop)]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.rows import texts
+from chartloom.llm.rows import texts, unused
 from chartloom.llm.texts import pieces
 
 WINDOW = 13
@@ -207,9 +207,10 @@ def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         # A text's share of hits needs all blocks at once, so rows are marked first and filtered by their mark.
         from chartloom.session import written
 
-        numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "documents")
-        bad = find(numbered, items, "__row", text).where(contaminated()).select(F.col("doc_id").alias("__row"))
-        return numbered.join(bad, "__row", "left_anti").drop("__row")
+        row = f"{unused(docs.columns)}row"
+        numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
+        bad = find(numbered, items, row, text).where(contaminated()).select(F.col("doc_id").alias(row))
+        return numbered.join(bad, row, "left_anti").drop(row)
     return kept.mapInArrow(_filter(spark.sparkContext.broadcast(blocks[0]), text), docs.schema)
 
 

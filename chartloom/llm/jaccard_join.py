@@ -13,7 +13,7 @@ tree lets pass are verified. Which numbers of parts a text uses depends on its s
 similar sizes meet; a text whose shingles fill too few of the parts also uses the next finer number.
 
 Only connectivity is asked for: within a tree, pairs that are connected already are not verified. Equal
-sets are one point. A cluster of more than ``CROWD`` sets is not gathered: its sets are compared with
+sets are one point: a name that sets share by chance, as a second hash shows, is not used (see ``Names``). A cluster of more than ``CROWD`` sets is not gathered: its sets are compared with
 one of them, its hub, each in a task of its own; those similar to the hub are connected, and only the
 others are compared with everything, in blocks.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.components import components
-from chartloom.llm.rows import LAST_ID, keyed
+from chartloom.llm.rows import LAST_ID, keyed, unused
 from chartloom.llm.texts import LOWER, Piece, long_hash, long_sums, mix, pieces, signed, words
 from chartloom.session import written
 
@@ -179,15 +179,48 @@ def linked(sets: list[np.ndarray], t: tuple[int, int], asking: np.ndarray | None
     return head
 
 
-def _name(own: np.ndarray) -> int:
-    """A signed number that equal sets share; 0 for the empty set."""
+def _name(own: np.ndarray, names: Names) -> int:
+    """A signed number that equal sets share, and others do not; 0 for the empty set."""
     if not len(own):
         return 0
-    total = mix(np.add.reduce(mix(own * _STEP), keepdims=True) + np.uint64(len(own)))
-    return int(total.view(np.int64)[0]) or 1
+    total = mix(np.add.reduce(mix(own * _STEP), keepdims=True) + np.uint64(len(own))) >> np.uint64(64 - names.bits)
+    name = int(total.view(np.int64)[0]) or 1
+    return names.others.get((name, _check(own)), name) if name in names.shared else name
 
 
-def _sets(size: int):
+def _check(own: np.ndarray) -> int:
+    """A second, independent number of a set."""
+    return int(mix(np.bitwise_xor.reduce(mix(own + _STEP), keepdims=True) + np.uint64(len(own))).view(np.int64)[0])
+
+
+class Names:
+    """How sets are named: by ``bits`` of a hash, and by another one for sets that would share a name by chance.
+
+    Names that several sets have are found by a second hash over all documents; at 64 bits these are about
+    n * n / 2**65 of n sets (three of ten billion), so they fit in every task.
+    """
+
+    def __init__(self, bits: int, others: dict[tuple[int, int], int] | None = None):
+        self.bits, self.others = bits, others or {}
+        self.shared = {name for name, _ in self.others}
+
+
+def _names(source: DataFrame, size: int, bits: int) -> tuple[DataFrame, Names]:
+    """The sets of all rows, written, and how they are named."""
+    names = Names(bits)
+    rows = written(source.mapInArrow(_sets(size, names), SETS), "sets")
+    both = rows.groupBy("name").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select("name")
+    others = {(r.name, r.check): r.other for r in rows.join(both, "name").select("name", "check", F.xxhash64("name", "check").alias("other")).distinct().collect()}
+    if others:
+        names = Names(bits, others)
+        rows = written(source.mapInArrow(_sets(size, names), SETS), "sets")
+    return rows, names
+
+
+SETS = "doc_id long, id long, version long, n_shingles long, name long, check long, counts binary"
+
+
+def _sets(size: int, names: Names):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             own = shingle_sets(piece, size)
@@ -196,17 +229,18 @@ def _sets(size: int):
                 [
                     *columns,
                     pa.array([len(s) for s in own], pa.int64()),
-                    pa.array([_name(s) for s in own], pa.int64()),
+                    pa.array([_name(s, names) for s in own], pa.int64()),
+                    pa.array([_check(s) for s in own], pa.int64()),
                     # The largest count of 16 bits stands for all from there on, see Tree.
                     pa.array([np.minimum(counts(s), 65535).astype(np.uint16).tobytes() for s in own], pa.binary()),
                 ],
-                ["doc_id", "id", "version", "n_shingles", "name", "counts"],
+                ["doc_id", "id", "version", "n_shingles", "name", "check", "counts"],
             )
 
     return run
 
 
-def _parts(size: int, t: float):
+def _parts(size: int, t: float, known: Names):
     """Parts of each different set; a task gives those of equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +248,7 @@ def _parts(size: int, t: float):
         for piece in pieces(batches):
             found, names = [np.zeros(0, np.uint64)], []
             for own in shingle_sets(piece, size):
-                name = _name(own)
+                name = _name(own, known)
                 if name and name not in seen:
                     seen.add(name)
                     found.append(signatures(own, t))
@@ -303,13 +337,13 @@ def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[c] for x in links], pa.int64()) for c in (0, 1)], ["a", "b"])
 
 
-def _with_sets(size: int, carried: list[str]):
+def _with_sets(size: int, carried: list[str], names: Names):
     """The sets of the texts that have the name asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             own = shingle_sets(piece, size)
-            same = pa.array([_name(s) == n for s, n in zip(own, piece.batch.column("name").to_pylist(), strict=True)], pa.bool_())
+            same = pa.array([_name(s, names) == n for s, n in zip(own, piece.batch.column("name").to_pylist(), strict=True)], pa.bool_())
             found = pa.array([s.tobytes() for s in own], pa.binary())
             yield pa.RecordBatch.from_arrays([*(piece.batch.column(c) for c in carried), found], [*carried, "shingles"]).filter(same)
 
@@ -355,18 +389,14 @@ def _hubs(t: tuple[int, int]):
     return run
 
 
-def sets_of(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, id, version, n_shingles, name, counts`` of every row: the id without nulls, a hash of the text, the name of its set, its point."""
-    source = keyed(docs, doc_id, text).withColumnRenamed("doc", "id")
-    return source.mapInArrow(_sets(size), "doc_id long, id long, version long, n_shingles long, name long, counts binary")
-
-
-def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
-    """The rows of ``sets_of`` with ``set_group``, equal for connected sets; null for the empty set."""
+def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD, bits: int = 64) -> DataFrame:
+    """``doc_id, id, version, n_shingles, name, set_group`` of every row: the id without nulls, a hash of the text, the name of its set,
+    and a number that is equal for connected sets; null for the empty set."""
     exact, t = (percent, 100), percent / 100
-    source = keyed(docs, doc_id, text).withColumnRenamed("doc", "id").select("id", "version", "text")
-    rows = written(sets_of(docs, size, doc_id, text), "sets")
-    parts = source.select("text").mapInArrow(_parts(size, t), "part long, name long")
+    keys = keyed(docs, doc_id, text).withColumnRenamed("doc", "id")
+    rows, names = _names(keys, size, bits)
+    rows, source = rows.drop("check"), keys.select("id", "version", "text")
+    parts = source.select("text").mapInArrow(_parts(size, t, names), "part long, name long")
     shared = written(parts.repartition("part").sortWithinPartitions("part", "name").mapInArrow(_buckets, "bucket long, name long, low long"), "buckets")
     points = rows.select("name", "n_shingles", "counts").dropDuplicates(["name"])
     meeting = shared.where("bucket IS NOT NULL").select("bucket", "name").distinct().join(points, "name")
@@ -378,7 +408,7 @@ def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", tex
     heads = rows.join(cluster, "name").groupBy("name", "cluster").agg(F.min(F.struct("id", "version")).alias("at"))
     heads = heads.join(size_of, "cluster").select("name", "cluster", "members", "at.id", "at.version")
     own = source.join(heads, ["id", "version"]).select("name", "cluster", "members", "text")
-    own = written(own.mapInArrow(_with_sets(size, ["name", "cluster", "members"]), "name long, cluster long, members long, shingles binary").dropDuplicates(["name"]), "cluster-sets")
+    own = written(own.mapInArrow(_with_sets(size, ["name", "cluster", "members"], names), "name long, cluster long, members long, shingles binary").dropDuplicates(["name"]), "cluster-sets")
     small = own.where(F.col("members") <= crowd).select(F.col("cluster").alias("route"), "name", F.lit(True).alias("asks"), "shingles")
     links = small.repartition("route").sortWithinPartitions("route", "name").mapInArrow(_clusters(exact), "a long, b long")
     links = components(links.unionByName(_crowded(own.where(F.col("members") > crowd), exact, crowd)))
@@ -387,9 +417,9 @@ def groups(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", tex
     ).drop("component")
 
 
-def link(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
+def link(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD, bits: int = 64) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the least id reachable by links of at least ``percent`` similarity."""
-    rows = groups(docs, size, percent, doc_id, text, crowd)
+    rows = groups(docs, size, percent, doc_id, text, crowd, bits)
     least = rows.where("set_group IS NOT NULL").groupBy("set_group").agg(F.min("id").alias("least"))
     out = rows.join(least, "set_group", "left").withColumn("component_id", F.coalesce("least", "id"))
     return out.select("doc_id", "n_shingles", F.when(F.col("component_id") != LAST_ID, F.col("component_id")).alias("component_id"))
@@ -397,16 +427,18 @@ def link(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text:
 
 def representatives(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """One row of each group of linked texts, the one with the least id; rows without a word all stay. All columns are kept."""
+    lead = unused(docs.columns)
+    id_, version = f"{lead}id", f"{lead}version"
     rows = groups(docs, size, percent, doc_id, text, crowd)
     first = rows.where("set_group IS NOT NULL").groupBy("set_group").agg(F.min(F.struct("id", "version")).alias("at"), F.count("*").alias("copies"))
-    gone = rows.join(first.where("copies > 1"), "set_group").where("id <> at.id OR version <> at.version").select(F.col("id").alias("__id"), F.col("version").alias("__version")).distinct()
-    marked = docs.withColumns({"__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "__version": F.xxhash64(F.col(text).cast("string"))})
-    kept = marked.join(gone, ["__id", "__version"], "left_anti")
+    gone = rows.join(first.where("copies > 1"), "set_group").where("id <> at.id OR version <> at.version").select(F.col("id").alias(id_), F.col("version").alias(version)).distinct()
+    marked = docs.withColumns({id_: F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), version: F.xxhash64(F.col(text).cast("string"))})
+    kept = marked.join(gone, [id_, version], "left_anti")
     # Rows with one id and one text are only dealt with if there are any.
     if not rows.where("set_group IS NOT NULL").groupBy("id", "version").count().where("count > 1").isEmpty():
         empty = ~F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-        kept = kept.where(empty).unionByName(kept.where(~empty).dropDuplicates(["__id", "__version"]))
-    return kept.drop("__id", "__version")
+        kept = kept.where(empty).unionByName(kept.where(~empty).dropDuplicates([id_, version]))
+    return kept.drop(id_, version)
 
 
 def _crowded(own: DataFrame, t: tuple[int, int], crowd: int) -> DataFrame:

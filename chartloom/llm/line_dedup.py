@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.rows import LAST_ID, texts
+from chartloom.llm.rows import LAST_ID, texts, unused
 from chartloom.session import written
 
 ROLL = 2
@@ -35,8 +35,8 @@ def _previous(array: str, start: Column) -> Column:
     return F.slice(F.concat(F.array(start), F.col(array)), F.lit(1), F.size(array))
 
 
-def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
-    """The frame with ``__parts``: the chunks of ``text`` in order, as ``body`` and ``n_lines``; null if the text is.
+def with_chunks(docs: DataFrame, text: Column, lead: str = "__") -> DataFrame:
+    """The frame with ``__parts`` (``lead`` and "parts"): the chunks of ``text`` in order, as ``body`` and ``n_lines``; null if the text is.
 
     Each step is a column of its own that the next one reads more than once, so arrays are made once per row.
     A one-row generator comes last: filters on what follows are not moved below it, where they would
@@ -44,17 +44,17 @@ def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
     """
     columns = docs.columns
     keep = [F.col(f"`{c}`") for c in columns]
-    lines = docs.select(*keep, F.split(text, "\n", -1).alias("__lines"))
+    lines = docs.select(*keep, F.split(text, "\n", -1).alias(f"{lead}lines"))
     # The first seven hex digits of each line's md5 are its hash.
-    hashes = lines.select(*keep, "__lines", F.transform("__lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long")).alias("__hashes"))
-    rolled = F.zip_with(_previous("__hashes", F.lit(0).cast("long")), "__hashes", lambda before, h: (before * _FACTOR + h) % _MODULUS % DIVISOR == 0)
-    chosen = hashes.select(*keep, "__lines", rolled.alias("__chosen"))
-    flags = F.zip_with(_previous("__chosen", F.lit(False)), "__chosen", lambda before, c: c & ~before)
+    hashes = lines.select(*keep, f"{lead}lines", F.transform(f"{lead}lines", lambda x: F.conv(F.substring(F.md5(x), 1, 7), 16, 10).cast("long")).alias(f"{lead}hashes"))
+    rolled = F.zip_with(_previous(f"{lead}hashes", F.lit(0).cast("long")), f"{lead}hashes", lambda before, h: (before * _FACTOR + h) % _MODULUS % DIVISOR == 0)
+    chosen = hashes.select(*keep, f"{lead}lines", rolled.alias(f"{lead}chosen"))
+    flags = F.zip_with(_previous(f"{lead}chosen", F.lit(False)), f"{lead}chosen", lambda before, c: c & ~before)
     marked = F.filter(F.transform(flags, lambda c, i: F.when(c, i + 1)), lambda e: e.isNotNull())
-    ends = chosen.select(*keep, "__lines", F.array_union(marked, F.array(F.size("__chosen"))).alias("__ends"))
-    part = lambda before, e: F.struct(F.array_join(F.slice("__lines", before + 1, e - before), "\n").alias("body"), (e - before).alias("n_lines"))
-    parts = F.zip_with(_previous("__ends", F.lit(0)), "__ends", part)
-    made = F.struct(F.when(F.col("__lines").isNotNull(), parts).alias("__parts"))
+    ends = chosen.select(*keep, f"{lead}lines", F.array_union(marked, F.array(F.size(f"{lead}chosen"))).alias(f"{lead}ends"))
+    part = lambda before, e: F.struct(F.array_join(F.slice(f"{lead}lines", before + 1, e - before), "\n").alias("body"), (e - before).alias("n_lines"))
+    parts = F.zip_with(_previous(f"{lead}ends", F.lit(0)), f"{lead}ends", part)
+    made = F.struct(F.when(F.col(f"{lead}lines").isNotNull(), parts).alias(f"{lead}parts"))
     return ends.select(*keep, F.inline_outer(F.array(made)))
 
 
@@ -77,25 +77,26 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return found.groupBy("doc", "version").agg(F.collect_set("chunk").alias("gone"))
 
 
-def _thinned(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The documents with ``__gone`` (lines removed, null if none) and ``__left`` (what remains of the text)."""
-    gone = repeated_chunks(docs, doc_id, text).select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("gone").alias("__chunks"))
-    marked = docs.withColumns({"__doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), "__version": F.xxhash64(text)})
-    joined = marked.join(gone, ["__doc", "__version"], "left")
-    cut = with_chunks(joined, F.when(F.col("__chunks").isNotNull(), F.col(text)))
-    inside = lambda yes: F.filter("__parts", lambda _, i: F.array_contains("__chunks", i) if yes else ~F.array_contains("__chunks", i))
+def _thinned(docs: DataFrame, doc_id: str, text: str, lead: str = "__") -> DataFrame:
+    """The documents with ``__gone`` (lines removed, null if none) and ``__left`` (what remains of the text); the names begin with ``lead``."""
+    gone = repeated_chunks(docs, doc_id, text).select(F.col("doc").alias(f"{lead}doc"), F.col("version").alias(f"{lead}version"), F.col("gone").alias(f"{lead}chunks"))
+    marked = docs.withColumns({f"{lead}doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)), f"{lead}version": F.xxhash64(text)})
+    joined = marked.join(gone, [f"{lead}doc", f"{lead}version"], "left")
+    cut = with_chunks(joined, F.when(F.col(f"{lead}chunks").isNotNull(), F.col(text)), lead)
+    inside = lambda yes: F.filter(f"{lead}parts", lambda _, i: F.array_contains(f"{lead}chunks", i) if yes else ~F.array_contains(f"{lead}chunks", i))
     left = F.array_join(F.transform(inside(False), lambda p: p["body"]), "\n")
     removed = F.aggregate(inside(True), F.lit(0), lambda total, p: total + p["n_lines"])
-    has = F.col("__chunks").isNotNull()
-    made = F.struct(F.when(has, removed).alias("__gone"), F.when(has, left).otherwise(F.col(text)).alias("__left"))
+    has = F.col(f"{lead}chunks").isNotNull()
+    made = F.struct(F.when(has, removed).alias(f"{lead}gone"), F.when(has, left).otherwise(F.col(text)).alias(f"{lead}left"))
     return cut.select(*[F.col(f"`{c}`") for c in cut.columns], F.inline_outer(F.array(made)))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without later copies of chunks, all columns kept; those that lose their last word are gone."""
-    thinned = _thinned(docs, doc_id, text)
-    kept = thinned.where(F.col("__gone").isNull() | F.col("__left").rlike(r"[^\x20\x09-\x0D]"))
-    return kept.select(*[F.col("__left").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    lead = unused(docs.columns)
+    thinned = _thinned(docs, doc_id, text, lead)
+    kept = thinned.where(F.col(f"{lead}gone").isNull() | F.col(f"{lead}left").rlike(r"[^\x20\x09-\x0D]"))
+    return kept.select(*[F.col(f"{lead}left").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def summary(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 LAST_ID = (1 << 63) - 1
 
 
+def unused(columns: list[str]) -> str:
+    """A beginning for helper columns that no column of a frame has, in any case of letters."""
+    lead = "__"
+    while any(c.lower().startswith(lead) for c in columns):
+        lead += "_"
+    return lead
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id is the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % parts

@@ -106,3 +106,17 @@ def test_words_that_differ_are_told_apart(documents, alike_words):
     docs = [*enumerate(alike_words), (5, alike_words[0]), (6, "a b c"), (7, f"{alike_words[1]} x y"), (8, f"{alike_words[0]} x y")]
     got = jj.link(documents(*docs), 3, 90).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(docs, 3, 90)
+
+
+def test_sets_that_would_share_a_name(documents):
+    """Names of five bits, which many different sets have."""
+    docs = corpus(6, 90)
+    got = jj.link(documents(*docs), 3, 90, bits=5).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(docs, 3, 90)
+
+
+def test_helper_names_of_the_table(documents):
+    text = " ".join(f"word{k}" for k in range(100))
+    docs = documents((5, text), (3, text + " end"), (9, "else")).selectExpr("*", "'a' AS __id", "'b' AS __VERSION")
+    rows = jj.representatives(docs, 5, 80).collect()
+    assert sorted((r.doc_id, r["__id"], r["__VERSION"]) for r in rows) == [(3, "a", "b"), (9, "a", "b")]

@@ -78,3 +78,14 @@ def test_a_line_in_front_moves_no_other_border():
 
 def test_empty_table(documents):
     assert line_dedup.summary(documents((1, "x")).limit(0)).collect() == []
+
+
+def test_helper_names_of_the_table(documents):
+    body = "\n".join(f"line {k}" for k in range(40))
+    names = ("__doc", "__version", "__chunks", "__gone", "__left", "__lines", "___parts")
+    docs = documents((1, body), (2, body), (3, "x\ny")).selectExpr("*", *(f"'{n}' AS {n}" for n in names))
+    out = line_dedup.remove_repeats(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert sorted(r.doc_id for r in rows if r.text == body) == [1]
+    assert all(r[n] == n for r in rows for n in names)

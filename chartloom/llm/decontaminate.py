@@ -6,27 +6,34 @@ words, but not none, is one window. A document word is hit if it lies inside an
 window. Null and empty texts have no words and no hits; null items are ignored; equal windows of
 several items count for each of them; rows with one id are judged each on its own.
 
-Items are dealt into blocks of at most ``BLOCK_BYTES``, one automaton each, which bounds what a
-worker holds; every block scans all texts, and the hits of a text are united if there are several.
+Items are cut into runs of ``ITEM_WORDS`` windows, and these are dealt in Spark into blocks of about
+``BLOCK_BYTES``, one automaton each, which bounds what a worker holds (some 550 bytes a byte of items). The
+blocks lie in the shared folder; a task loads one after the other and scans a group of its texts with each, so texts are read
+once, and neither items nor hits pass through the driver or a shuffle. Items and texts may be of any length that fits a task.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.rows import texts, unused
-from chartloom.llm.texts import pieces
+from chartloom.llm.rows import texts
+from chartloom.llm.texts import Piece, pieces
+from chartloom.session import work_dir, written
 
 WINDOW = 13
-BLOCK_BYTES = 4 << 20
+ITEM_WORDS = 1_000
+BLOCK_BYTES = 512 << 10
+# Texts that are scanned with one block before the next is loaded, if there are several.
+GROUP_BYTES = 64 << 20
 # A document is contaminated if it has hits and they are at least this share of its words.
 SHARE = 20
 
@@ -85,30 +92,49 @@ def spans(text: bytes, hit: np.ndarray) -> list[dict]:
 
 
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
-_made: dict[str, ahocorasick.Automaton | None] = {}
+_made: dict[tuple, ahocorasick.Automaton | None] = {}
+Scan = tuple[int, np.ndarray, list[int]]
 
 
-def _matcher(items: list[tuple[int, str]], window: int) -> ahocorasick.Automaton | None:
-    """The automaton of a block, built once per worker."""
-    key = hashlib.sha256(repr((items, window)).encode()).hexdigest()
+def _matcher(system: fs.FileSystem, block: tuple[str, ...], window: int) -> ahocorasick.Automaton | None:
+    """The automaton of a block; a worker keeps the last one."""
+    key = (block, window)
     if key not in _made:
         _made.clear()
-        _made[key] = automaton(items, window)
+        rows = [row for file in block for row in pq.ParquetFile(system.open_input_file(file)).read(["id", "text"]).to_pylist()]
+        _made[key] = automaton([(row["id"], row["text"]) for row in rows], window)
     return _made[key]
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple[int, str]]]:
-    """Items by blocks. Test sets are small beside a corpus; a block never exceeds ``block_bytes`` by more than one item."""
-    chosen = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for row in chosen.distinct().orderBy("id", "text").toLocalIterator():
-        if size + len(row.text) > block_bytes and blocks[-1]:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row.id, row.text))
-        size += len(row.text)
-    return blocks
+def _blocks(path: str) -> tuple[fs.FileSystem, list[tuple[str, ...]]]:
+    """The files of every block."""
+    system, folder = fs.FileSystem.from_uri(path)
+    by_block: dict[str, list[str]] = {}
+    for found in system.get_file_info(fs.FileSelector(folder, recursive=True)):
+        if found.base_name.endswith(".parquet"):
+            by_block.setdefault(found.path.rsplit("/", 1)[0], []).append(found.path)
+    return system, [tuple(sorted(by_block[b])) for b in sorted(by_block)]
+
+
+def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> str:
+    """Folder with the items by blocks. No block exceeds ``block_bytes`` by more than one run of an item.
+
+    The runs of an item share its windows out, none is in two and none is lost. They are dealt to parts by hash, as many
+    as there are blocks of bytes, and cut into blocks by the running bytes of their part.
+    """
+    low = F.translate(F.col(f"`{text}`").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = items.select(F.col(f"`{item_id}`").cast("long").alias("id"), F.regexp_extract_all(low, F.lit(_WORD.pattern.decode()), 0).alias("words"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(ITEM_WORDS))
+    runs = words.where("id IS NOT NULL AND size(words) > 0").select("id", "words", F.explode(starts).alias("start"))
+    runs = runs.select("id", F.array_join(F.slice("words", F.col("start") + 1, ITEM_WORDS + window - 1), " ").alias("text")).distinct()
+    rows = written(runs.withColumn("bytes", F.octet_length("text")), "item-runs")
+    parts = (rows.agg(F.sum("bytes").alias("n")).first()["n"] or 0) // block_bytes + 1
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts)))
+    earlier = Window.partitionBy("part").orderBy("id", "text").rowsBetween(Window.unboundedPreceding, -1)
+    block = F.floor(F.coalesce(F.sum("bytes").over(earlier), F.lit(0)) / block_bytes)
+    path = work_dir(items.sparkSession, "item-blocks")
+    dealt.select("id", "text", "part", block.alias("block")).repartition("part", "block").write.partitionBy("part", "block").parquet(path)
+    return path
 
 
 def find(
@@ -122,21 +148,13 @@ def find(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, items, spans`` (see the module for the rules)."""
-    spark = docs.sparkSession
-    source = texts(docs, doc_id, text)
-    blocks = item_blocks(items, item_id, item_text, block_bytes)
-    if len(blocks) == 1:
-        return source.mapInArrow(_scanner(spark.sparkContext.broadcast(blocks[0]), window), f"doc_id long, {COLUMNS}")
-    # Several automata: hits per word are united by row, which gets a number that lives as long as the written table.
-    from chartloom.session import written
-
-    numbered = written(source.withColumn("row", F.monotonically_increasing_id()), "texts")
-    parts = None
-    for block in blocks:
-        found = numbered.mapInArrow(_marker(spark.sparkContext.broadcast(block), window), "row long, hit binary, items array<long>")
-        parts = found if parts is None else parts.unionByName(found)
-    hits = parts.groupBy("row").agg(F.collect_list("hit").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return numbered.join(hits, "row", "left").mapInArrow(_uniter, f"doc_id long, {COLUMNS}")
+    path = item_blocks(items, item_id, item_text, window, block_bytes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, found in _scanned(batches, path, window):
+            yield _rows(piece.batch.column("doc_id").to_pylist(), [(piece.text(k), *row) for k, row in enumerate(found)])
+
+    return texts(docs, doc_id, text).mapInArrow(run, f"doc_id long, {COLUMNS}")
 
 
 def _rows(ids: list, found: list[tuple[bytes, int, np.ndarray, list[int]]]) -> pa.RecordBatch:
@@ -152,45 +170,36 @@ def _rows(ids: list, found: list[tuple[bytes, int, np.ndarray, list[int]]]) -> p
     )
 
 
-def _scanner(block, window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(block.value, window)
-        for piece in pieces(batches):
-            found = [(t := piece.text(k), *scan(matcher, t)) for k in range(len(piece))]
-            yield _rows(piece.batch.column("doc_id").to_pylist(), found)
-
-    return run
-
-
-def _marker(block, window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(block.value, window)
-        for piece in pieces(batches):
-            found = [scan(matcher, piece.text(k))[1:] for k in range(len(piece))]
-            some = [k for k, (hit, _) in enumerate(found) if hit.any()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    piece.batch.column("row").take(pa.array(some, pa.int64())),
-                    pa.array([np.packbits(found[k][0]).tobytes() for k in some], pa.binary()),
-                    pa.array([found[k][1] for k in some], pa.list_(pa.int64())),
-                ],
-                ["row", "hit", "items"],
-            )
-
-    return run
-
-
-def _uniter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in pieces(batches):
-        found = []
-        for k, (hits, items) in enumerate(zip(piece.batch.column("hits").to_pylist(), piece.batch.column("items").to_pylist(), strict=True)):
-            text = piece.text(k)
-            n = len(text.translate(_NORMAL).split())
-            hit = np.zeros(n, bool)
-            for marks in hits or ():
-                hit |= np.unpackbits(np.frombuffer(marks, np.uint8), count=n).astype(bool)
-            found.append((text, n, hit, items or []))
-        yield _rows(piece.batch.column("doc_id").to_pylist(), found)
+def _groups(found: Iterator[Piece], limit: int) -> Iterator[list[Piece]]:
+    """Pieces in turn, in groups of at least ``limit`` bytes."""
+    group: list[Piece] = []
+    size = 0
+    for piece in found:
+        group.append(piece)
+        size += len(piece.data)
+        if size >= limit:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], path: str, window: int, column: str = "text") -> Iterator[tuple[Piece, list[Scan]]]:
+    """Pieces, and what all blocks together find in each of their texts."""
+    system, blocks = _blocks(path)
+    for group in _groups(pieces(batches, column), GROUP_BYTES if len(blocks) > 1 else 0):
+        results: list[list[Scan]] = []
+        for block in blocks or [None]:
+            matcher = None if block is None else _matcher(system, block, window)
+            found = [[scan(matcher, piece.text(k)) for k in range(len(piece))] for piece in group]
+            results = [list(map(_united, old, new)) for old, new in zip(results, found, strict=True)] if results else found
+        yield from zip(group, results, strict=True)
+        # The next group begins with the block that is loaded.
+        blocks.reverse()
+
+
+def _united(old: Scan, new: Scan) -> Scan:
+    return old[0], old[1] | new[1], sorted({*old[2], *new[2]})
 
 
 def contaminated(share: int = SHARE):
@@ -198,31 +207,13 @@ def contaminated(share: int = SHARE):
     return (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
 
 
-def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are not contaminated, all columns kept; rows are judged in place, nothing is shuffled."""
-    spark = docs.sparkSession
-    blocks = item_blocks(items, "item_id", "text", BLOCK_BYTES)
-    kept = docs
-    if len(blocks) > 1:
-        # A text's share of hits needs all blocks at once, so rows are marked first and filtered by their mark.
-        from chartloom.session import written
+    path = item_blocks(items)
 
-        row = f"{unused(docs.columns)}row"
-        numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
-        bad = find(numbered, items, row, text).where(contaminated()).select(F.col("doc_id").alias(row))
-        return numbered.join(bad, row, "left_anti").drop(row)
-    return kept.mapInArrow(_filter(spark.sparkContext.broadcast(blocks[0]), text), docs.schema)
-
-
-def _filter(block, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(block.value, WINDOW)
-        for piece in pieces(batches, column):
-            keep = []
-            for k in range(len(piece)):
-                n, hit, _ = scan(matcher, piece.text(k))
-                hits = int(hit.sum())
-                keep.append(not (hits and SHARE * hits >= n))
-            yield piece.batch.filter(pa.array(keep))
-
-    return run
+        for piece, found in _scanned(batches, path, WINDOW, text):
+            hits = [(n, int(hit.sum())) for n, hit, _ in found]
+            yield piece.batch.filter(pa.array([not (hit and SHARE * hit >= n) for n, hit in hits], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -57,9 +57,32 @@ def test_same_as_brute_force(documents, spark, block):
         assert len(marked) == r.n_hit
 
 
+def test_long_items_are_cut_without_losing_windows(documents, spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEM_WORDS", 3)
+    docs, items = corpus()
+    rng = random.Random(7)
+    items += [(90 + n, " ".join(f"w{rng.randint(0, 9)}" for _ in range(n))) for n in range(12, 21)] + [(99, "Z" * 300_000)]
+    docs += [(100 + n, f"x {items[-5][1][n:]} y") for n in range(0, 12, 3)] + [(120, "a " + "z" * 300_000)]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.find(documents(*docs), tests, block_bytes=200).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in rows), key=repr) == brute(docs, items)
+
+
+def test_blocks_are_bounded(spark):
+    items = [(k, f"{'word ' * (k % 40)}end{k}") for k in range(500)] + [(1, "again")] * 300 + [(2, None), (None, "a b")]
+    path = decontaminate.item_blocks(spark.createDataFrame(items, "item_id long, text string"), block_bytes=1_000)
+    rows = spark.read.parquet(path).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.part, r.block] = sizes.get((r.part, r.block), 0) + len(r.text)
+    assert sorted((r.id, r.text) for r in rows) == sorted({(i, t) for i, t in items if t and i is not None})
+    assert len(sizes) > 10 and max(sizes.values()) < 1_000 + 210
+
+
 @pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 60])
 def test_clean_documents_stay(documents, spark, block, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontaminate.item_blocks, "__defaults__", (*decontaminate.item_blocks.__defaults__[:-1], block))
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 1)
     docs, items = corpus()
     frame = documents(*docs)
     kept = decontaminate.clean(frame, spark.createDataFrame(items, "item_id long, text string"))

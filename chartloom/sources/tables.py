@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import cache, reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,18 +161,41 @@ class KeySet:
     values: list | None
 
 
-def key_set(keys: DataFrame, column: str, literal_keys: int = LITERAL_KEYS) -> KeySet:
-    """Keys looked at in one pass: their number, range and size, and the keys themselves as long as they are few.
+def key_sets(keys: Mapping[str, DataFrame], literal_keys: int = LITERAL_KEYS) -> dict[str, KeySet]:
+    """Key sets by the name of the column that holds the keys, all looked at by one job.
 
-    Of many keys only so many come along as show that they are many.
+    It brings their numbers, ranges and sizes, and of each set the first ``literal_keys`` keys.
     """
-    rows = keys.select(F.col(column).alias("__key")).where(F.col("__key").isNotNull()).distinct()
-    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.min("__key").alias("low"), F.max("__key").alias("high"), F.sum(row_bytes(rows)).alias("size"))
-    few = rows.limit(literal_keys + 1).select(F.col("__key").alias("key"))
-    first, *values = seen.unionByName(few, allowMissingColumns=True).orderBy(F.col("n").desc_nulls_last()).collect()
-    if first.n <= literal_keys:
-        return KeySet(rows, first.low, first.high, [r.key for r in values])
-    return KeySet(F.broadcast(rows) if first.size <= BROADCAST_BYTES else rows, first.low, first.high, None)
+    live = {c: df.select(F.col(c).alias("__key")).where(F.col("__key").isNotNull()) for c, df in keys.items()}
+    types = {c: df.schema["__key"].dataType.simpleString() for c, df in live.items()}
+    # A column for each type of keys.
+    slots = {t: f"key_{i}" for i, t in enumerate(sorted(set(types.values())))}
+    named = [df.select(F.lit(c).alias("of"), F.col("__key").alias(slots[types[c]]), row_bytes(df).alias("bytes")) for c, df in live.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).distinct()
+    ends = [end(k).alias(f"{name}_{k}") for k in slots.values() for name, end in (("low", F.min), ("high", F.max))]
+    seen = rows.groupBy("of").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"), *ends)
+    by_set = Window.partitionBy("of").orderBy(*slots.values())
+    few = rows.drop("bytes").withColumn("at", F.row_number().over(by_set)).where(F.col("at") <= literal_keys).drop("at")
+    values: dict[str, list] = {c: [] for c in keys}
+    sizes: dict[str, Row] = {}
+    for row in seen.unionByName(few, allowMissingColumns=True).collect():
+        if row.n is None:
+            values[row.of].append(row[slots[types[row.of]]])
+        else:
+            sizes[row.of] = row
+    found = {}
+    for c, df in live.items():
+        size, slot, distinct = sizes.get(c), slots[types[c]], df.distinct()
+        if size is None or size.n <= literal_keys:
+            found[c] = KeySet(distinct, size and size[f"low_{slot}"], size and size[f"high_{slot}"], values[c])
+        else:
+            found[c] = KeySet(F.broadcast(distinct) if size.bytes <= BROADCAST_BYTES else distinct, size[f"low_{slot}"], size[f"high_{slot}"], None)
+    return found
+
+
+def key_set(keys: DataFrame, column: str, literal_keys: int = LITERAL_KEYS) -> KeySet:
+    """One key set, as ``key_sets``."""
+    return key_sets({column: keys.select(column)}, literal_keys)[column]
 
 
 def scan_by_keys(

@@ -49,16 +49,17 @@ def last_changes(batch: DataFrame, keys: str | Sequence[str], with_position: boo
 
 
 def batch_keys(
-    batch: DataFrame, columns: Mapping[str, str] | Sequence[str], null_as: int | None = None
+    batch: DataFrame, columns: Mapping[str, str] | Sequence[str], null_as: int | None = None, distinct: bool = True
 ) -> dict[str, DataFrame]:
     """Distinct keys a batch touches: a frame for every entity, with NULL replaced if asked.
 
-    ``columns`` maps the key column of an entity to the column of the batch.
+    ``columns`` maps the key column of an entity to the column of the batch. ``key_sets`` needs no distinct keys.
     """
     pairs = columns if isinstance(columns, Mapping) else {c: c for c in columns}
 
     def keys(entity: str, column: str) -> DataFrame:
         value = F.col(column) if null_as is None else F.coalesce(column, F.lit(null_as))
-        return batch.select(value.alias(entity)).distinct()
+        found = batch.select(value.alias(entity))
+        return found.distinct() if distinct else found
 
     return {entity: keys(entity, column) for entity, column in pairs.items()}

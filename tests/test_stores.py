@@ -12,7 +12,7 @@ from chartloom.sources.bulk import bulk_files, read_bulk_files, stream_bulk_file
 from chartloom.sources.documents import database_exists, read_documents, read_manifest, write_documents
 from chartloom.sources.keyed import KeyedTable
 from chartloom.sources.staging import replace_staging, upsert_staging
-from chartloom.sources.tables import JdbcTables, ParquetTables, balanced_ranges, filter_in, read_ranges, read_table, scan_by_keys, stride_options
+from chartloom.sources.tables import balanced_ranges, filter_in, key_sets, read_ranges, read_table, scan_by_keys, stride_options, JdbcTables, ParquetTables
 
 
 def values(df):
@@ -364,3 +364,16 @@ def test_nightly_reads_only_what_changed(spark, rows, tmp_path, monkeypatch):
     assert night() == ([3, 4], 10)
     replace_staging(docs, staging, "vitals")
     assert night() == (list(range(10)), 10)
+
+
+def test_key_sets_of_several_types_in_one_pass(spark):
+    rows = spark.createDataFrame([(i % 7, f"s{i % 3}", None, i) for i in range(50)] + [(None, None, None, None)], "a int, b string, c int, d bigint")
+    found = key_sets({c: rows.select(c) for c in rows.columns}, literal_keys=7)
+    assert (found["a"].low, found["a"].high, sorted(found["a"].values)) == (0, 6, list(range(7)))
+    assert sorted(found["b"].values) == ["s0", "s1", "s2"]
+    assert (found["c"].values, found["c"].low) == ([], None)
+    # Too many for literals: a frame and its range.
+    assert (found["d"].values, found["d"].low, found["d"].high) == (None, 0, 49)
+    assert scan_by_keys(rows, found["a"], "a").count() == 50
+    assert scan_by_keys(rows, found["c"], "c").count() == 0
+    assert scan_by_keys(rows, found["d"], "d").count() == 50

@@ -3,7 +3,8 @@
 A group may hold a large part of the table. Representatives are plain aggregates that shrink on
 the map side. Arrays grow with the group, so each array is dealt over rows by one rule for groups of
 any size: the element of rank r (from 0) in the declared order is in part ``r div part_rows``. Part 0
-always exists and carries the representatives, which further parts repeat. Nothing is dropped. Ranks of large groups
+always exists and carries the representatives, which further parts repeat. Nothing is dropped. A group of up to
+``TASK_ROWS`` rows is folded by one task, which cuts its arrays into parts: one shuffle. Ranks of larger groups
 come from prefix sums of the counts of ranges of their order, whose borders are sampled from the group itself, so no task holds
 such a group.
 """
@@ -22,9 +23,12 @@ from chartloom.columns import ColumnOrName, as_column, as_list, fields_struct
 from chartloom.session import written
 
 PART_ROWS = 10_000
+# A group of this many rows, or of one part if that is more, is still folded by one task.
+TASK_ROWS = 10_000
 # A large array is ranked by at most this many tasks.
 RANGES = 256
 WHOLE = {"whole": True}
+DEALT = {"dealt": True}
 
 
 def is_whole(df: DataFrame) -> bool:
@@ -32,6 +36,25 @@ def is_whole(df: DataFrame) -> bool:
     return df.schema["part"].metadata == WHOLE
 
 
+def dealt(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Rows dealt over tasks by their keys, once: the metadata of a single key column tells that they are.
+
+    Rows are best dealt before lookups in small dictionaries widen them, which leave them where they are. Should they have been
+    dealt anew since, an aggregation by the key is as right, but moves them again.
+    """
+    names = as_list(keys)
+    if len(names) > 1:
+        return df.repartition(*names)
+    if df.schema[names[0]].metadata == DEALT:
+        return df
+    return marked_dealt(df.repartition(*names), names[0])
+
+
+def marked_dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows that are known to be dealt by a key, as by a join on it."""
+    return df.withMetadata(key, DEALT)
+
+
 @dataclass(frozen=True)
 class Nested:
     """An array to build: its element, which rows count, and how it is ordered.
@@ -105,18 +128,32 @@ def _collected(nested: Nested) -> Column:
     return F.transform(F.sort_array(collect(nested.entry())), lambda x: x["e"]).alias(nested.name)
 
 
-def with_large_groups(frames: dict[str, tuple[DataFrame, str | Sequence[str]]], part_rows: int = PART_ROWS) -> set[str]:
-    """Names of the frames that may have a group of more than ``part_rows`` rows: one job over the key columns of all.
+def with_large_groups(frames: dict[str, tuple[DataFrame, str | Sequence[str]]], part_rows: int = PART_ROWS) -> dict[str, int]:
+    """The frames that may have a group of more than ``part_rows`` rows, and the rows of their largest: one job over the key columns of all.
 
     Keys are counted by their hash, which can only make a group look larger.
     """
     rows = [df.select(F.lit(name).alias("frame"), F.xxhash64(*as_list(keys)).alias("key")) for name, (df, keys) in frames.items()]
     counts = reduce(DataFrame.unionByName, rows).groupBy("frame", "key").agg(F.count(F.lit(1)).alias("n"))
-    return {r.frame for r in counts.where(F.col("n") > part_rows).select("frame").distinct().collect()}
+    most = counts.where(F.col("n") > part_rows).groupBy("frame").agg(F.max("n").alias("n"))
+    return {r.frame: r.n for r in most.collect()}
+
+
+def _task_rows(part_rows: int) -> int:
+    return max(part_rows, TASK_ROWS)
+
+
+def _crowded(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    return df.groupBy(*keys).count().where(F.col("count") > rows).select(*keys)
 
 
-def _crowded(df: DataFrame, keys: list[str], part_rows: int) -> DataFrame:
-    return df.groupBy(*keys).count().where(F.col("count") > part_rows).select(*keys)
+def _in_parts(whole: DataFrame, keys: list[str], arrays: list[str], part_rows: int) -> DataFrame:
+    """Whole groups, each cut into the parts of its longest array; a shorter array is empty in the last ones."""
+    others = [c for c in whole.columns if c not in (*keys, *arrays, "part")]
+    last = F.greatest(F.lit(1), *[F.ceil(F.size(a) / part_rows) for a in arrays]).cast("int") - 1
+    cut = lambda p: F.struct(p.alias("part"), *[F.slice(a, p * part_rows + 1, part_rows).alias(a) for a in arrays])
+    parts = whole.select(*keys, *others, F.inline(F.transform(F.sequence(F.lit(0), last), cut)))
+    return parts.select(*keys, *others, *arrays, "part")
 
 
 def _same_keys(keys: list[str], left: str, right: str) -> Column:
@@ -156,14 +193,14 @@ def _borders(piles: DataFrame, keys: list[str], part_rows: int) -> DataFrame:
 
 
 def _large_arrays(
-    df: DataFrame, keys: list[str], arrays: Sequence[Nested], part_rows: int
+    df: DataFrame, keys: list[str], arrays: Sequence[Nested], most: int
 ) -> DataFrame | None:
-    """Keys, array numbers and sizes of the arrays above ``part_rows`` elements; None without any.
+    """Keys, array numbers and sizes of the arrays above ``most`` elements; None without any.
 
     Many rows need not make a large array: copies may collapse, elements may be left out. The
     keys and sizes are written down, since several joins use them.
     """
-    crowded = written(_crowded(df, keys, part_rows), "crowded-keys")
+    crowded = written(_crowded(df, keys, most), "crowded-keys")
     if is_empty(crowded):
         return None
     rows = _with_keys(df, crowded, keys, "left_semi")
@@ -174,14 +211,14 @@ def _large_arrays(
         .withColumn("__array", F.lit(i))
         for i, a in enumerate(arrays)
     ]
-    large = written(reduce(DataFrame.unionByName, sizes).where(F.col("__size") > part_rows), "array-sizes")
+    large = written(reduce(DataFrame.unionByName, sizes).where(F.col("__size") > most), "array-sizes")
     return None if is_empty(large) else large
 
 
 def _array_parts(df: DataFrame, keys: list[str], nested: Nested, part_rows: int) -> DataFrame:
     """One array of large groups by part: elements are ranked by the counts of earlier ranges and within their range."""
     piles = _counted(df, keys, nested)
-    borders = written(_borders(piles, keys, part_rows), "borders")
+    borders = written(_borders(piles, keys, _task_rows(part_rows)), "borders")
     below = F.size(F.filter(F.coalesce("__borders", F.array()), lambda b: b <= F.col("__entry")))
     piles = _with_keys(piles, borders, keys, "left").withColumn("__range", below).drop("__borders")
     by_range = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
@@ -206,7 +243,7 @@ def nest(
     firsts: dict[str, ColumnOrName] | None = None,
     order_by: Sequence[ColumnOrName] = (),
     part_rows: int = PART_ROWS,
-    large: bool | None = None,
+    large: bool | int | None = None,
 ) -> DataFrame:
     """One row per key with its nested arrays and the columns ``firsts`` of its first row.
 
@@ -214,7 +251,8 @@ def nest(
     small groups are one row. Whether there are large ones is asked of the key columns before the plan is
     made, so that the usual plan stays a single aggregation; the rows that come out are the same.
     A result of main rows only says so in the metadata of ``part`` (``is_whole``).
-    ``large`` is the answer where it is known, as for several frames at once from ``with_large_groups``.
+    ``large`` is the answer where it is known, as for several frames at once from ``with_large_groups``: none, the rows
+    of the largest group, or True for groups of unknown size. Rows that are already dealt by key (``dealt``) stay where they are.
     """
     names = as_list(keys)
     first_cols = [pick_first(firsts, order_by).alias("__first")] if firsts else []
@@ -229,17 +267,20 @@ def nest(
         )
 
     if large is None:
-        large = bool(with_large_groups({"rows": (df, names)}, part_rows))
+        large = with_large_groups({"rows": (df, names)}, part_rows).get("rows", 0)
+    most = _task_rows(part_rows)
+    # Groups are small, and scattered over the input: arrays begun before the shuffle would
+    # mostly hold one element, so rows are moved as they are.
     if not large:
-        # Groups are small, and scattered over the input: arrays begun before the shuffle would
-        # mostly hold one element, so rows are moved as they are.
-        return whole(df.repartition(*names))
-    sizes = _large_arrays(df, names, arrays, part_rows)
+        return whole(dealt(df, names))
+    if large is not True and large <= most:
+        return _in_parts(whole(dealt(df, names)), names, array_names, part_rows)
+    sizes = _large_arrays(df, names, arrays, most)
     if sizes is None:
-        return whole(df)
+        return _in_parts(whole(df), names, array_names, part_rows)
 
     wide = sizes.select(*names).distinct()
-    usual = whole(_with_keys(df, wide, names, "left_anti"))
+    usual = _in_parts(whole(_with_keys(df, wide, names, "left_anti")), names, array_names, part_rows)
     rows = _with_keys(df, wide, names, "left_semi")
     types = {f.name: f.dataType for f in usual.schema.fields}
     if firsts:
@@ -256,7 +297,6 @@ def nest(
     joined = joined.withColumns({a: F.coalesce(a, F.array().cast(types[a])) for a in array_names})
     if firsts:
         joined = _with_keys(joined, heads, names, "left")
-    usual = usual.withColumn("part", F.lit(0).alias("part", metadata={}))
     return usual.unionByName(joined.select(*usual.columns))
 
 
@@ -267,7 +307,7 @@ def nest_set(
     name: str = "items",
     when: Column | None = None,
     part_rows: int = PART_ROWS,
-    large: bool | None = None,
+    large: bool | int | None = None,
 ) -> DataFrame:
     """Sorted array of the distinct elements of every key; rows failing ``when`` add none."""
     element = fields if isinstance(fields, Column) else fields_struct(fields)
@@ -282,7 +322,7 @@ def nest_list(
     name: str = "items",
     when: Column | None = None,
     part_rows: int = PART_ROWS,
-    large: bool | None = None,
+    large: bool | int | None = None,
 ) -> DataFrame:
     """Array of all elements of every key in the given order, copies included."""
     element = fields if isinstance(fields, Column) else fields_struct(fields)

@@ -210,3 +210,29 @@ def test_one_day_is_spread(rows):
     got = nest_list(df, "k", F.struct("v"), ["t"], "x", part_rows=80).orderBy("part").collect()
     assert [e.v for r in got for e in r.x] == [f"the same beginning {i:05}" for i in range(3000)]
     assert [len(r.x) for r in got] == [80] * 37 + [40]
+
+
+@pytest.mark.parametrize("task_rows", [0, 100, 10_000])
+@pytest.mark.parametrize("large", [None, True])
+def test_groups_of_a_task_are_cut_and_larger_ones_ranked(rows, skewed, monkeypatch, task_rows, large):
+    from chartloom.operators import nesting
+
+    made = []
+    monkeypatch.setattr(nesting, "TASK_ROWS", task_rows)
+    monkeypatch.setattr(nesting, "written", lambda df, label, own=nesting.written: made.append(label) or own(df, label))
+    df = rows("k int, a int, b int", *skewed)
+    arrays = [Nested("x", F.struct("a", "b"), distinct=False, order_by=("a",)), Nested("y", F.struct("b"))]
+    got = {}
+    for r in nest(df, "k", arrays, {"least": "a"}, ["a"], part_rows=30, large=large).collect():
+        got.setdefault(r.k, {})[r.part] = (r.least, [tuple(e) for e in r.x], [e.b for e in r.y])
+    for key, parts in got.items():
+        own = sorted((a, b) for k, a, b in skewed if k == key)
+        assert sorted(parts) == list(range(len(parts)))
+        assert {p[0] for p in parts.values()} == {own[0][0]}
+        assert [parts[p][1] for p in sorted(parts)] == [own[i : i + 30] for i in range(0, len(own), 30)]
+        ys = sorted({b for _, b in own})
+        assert [parts[p][2] for p in sorted(parts)][: len(ys) // 30 + 1] == [ys[i : i + 30] for i in range(0, len(ys) // 30 * 30 + 1, 30)]
+    assert got.keys() == {k for k, _, _ in skewed}
+    # Groups that fit a task are neither ranked nor written down.
+    assert ("array-parts" in made) == (task_rows < 10_000)
+    assert made == [] or task_rows < 10_000 or large

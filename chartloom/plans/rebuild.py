@@ -44,7 +44,7 @@ def document_jobs(
     """
 
     def encounters() -> DataFrame:
-        obs = obs_documents(tables["obs"], dim.concepts(tables), dim.drugs(tables))
+        obs = obs_documents(tables["obs"], dim.concepts(tables), dim.drugs(tables), by="encounter_id")
         return encounter_documents(tables, obs, built_at)
 
     def labs() -> DataFrame:

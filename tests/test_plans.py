@@ -238,3 +238,39 @@ def test_metadata(clinic, rows):
     assert sorted(docs) == ["g1", "l1", "l2"]
     assert docs["l1"]._rev == "4-x" and docs["l2"]._rev is None and docs["g1"].concept.uuid == "c1"
     assert docs["l1"].type == "location" and docs["g1"].type == "program"
+
+
+def test_cut_documents_join_whole_sides_and_write_nothing_down(clinic, monkeypatch):
+    from chartloom.operators import nesting
+    from chartloom.plans import encounters
+
+    made = []
+    for module in (nesting, encounters):
+        monkeypatch.setattr(module, "written", lambda df, label, own=nesting.written: made.append(label) or own(df, label))
+    whole = {r.encounter_id: r for r in encounter_documents(clinic, obs_of(clinic)).collect()}
+    parts = encounter_documents(clinic, obs_of(clinic), part_rows=1).collect()
+    assert made == []
+    for key, doc in whole.items():
+        own = sorted((r for r in parts if r.encounter_id == key), key=lambda r: r.part)
+        assert [r.part for r in own] == list(range(max(1, len(doc.encounterproviders), len(doc.orders), len(doc.obs))))
+        for name in ("encounterproviders", "orders", "obs"):
+            assert [x for r in own for x in r[name]] == doc[name]
+
+
+def test_rows_are_dealt_by_encounter_before_texts_are_looked_up(clinic):
+    docs = encounter_documents(clinic, obs_of(clinic, by="encounter_id"))
+    lines = docs._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    moved = [lines[i + 1] for i, line in enumerate(lines) if "RepartitionByExpression [encounter_id" in line]
+    assert len(moved) == 4
+    assert not any(text in m for m in moved for text in ("concept_name", "provider_name", "form_name", "visit_type_name"))
+
+
+@pytest.mark.parametrize("key_bytes", [16, 10**9])
+def test_members_of_large_groups_meet_their_roots(clinic, monkeypatch, key_bytes):
+    from chartloom.plans import observations
+
+    few = sorted(obs_of(clinic).collect(), key=lambda r: r.obs_id)
+    monkeypatch.setattr(observations, "BROADCAST_BYTES", 100)
+    monkeypatch.setattr(observations, "KEY_BYTES", key_bytes)
+    large = obs_of(clinic, by="encounter_id").select(*few[0].asDict())
+    assert sorted(large.collect(), key=lambda r: r.obs_id) == few

@@ -377,3 +377,27 @@ def test_key_sets_of_several_types_in_one_pass(spark):
     assert scan_by_keys(rows, found["a"], "a").count() == 50
     assert scan_by_keys(rows, found["c"], "c").count() == 0
     assert scan_by_keys(rows, found["d"], "d").count() == 50
+
+
+def test_an_only_batch_is_read_without_a_join(spark, rows, tmp_path):
+    from chartloom.sources.keyed import DELETED, KeyedTable
+
+    table = KeyedTable(spark, f"{tmp_path}/only", "k")
+    marked = rows(f"k int, v string, {DELETED} boolean", (1, "a", False), (1, "b", None), (2, None, True))
+    table.upsert(marked, "w", 0)
+    got = table.read()
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.k, r.v) for r in got.collect()) == [(1, "a"), (1, "b")]
+    table.upsert(rows("k int, v string", (1, "c")))
+    assert [(r.k, r.v) for r in table.read().collect()] == [(1, "c")]
+
+
+def test_rows_of_many_keys_stay_dealt(rows, monkeypatch):
+    from chartloom.operators.nesting import dealt
+    from chartloom.sources import tables
+
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", 0)
+    df, keys = rows("k int, v int", *[(i, i) for i in range(50)]), rows("k int", *[(i,) for i in range(20)])
+    found = tables.scan_by_keys(df, keys, "k", literal_keys=5)
+    assert dealt(found, "k") is found
+    assert sorted(r.v for r in found.collect()) == list(range(20))

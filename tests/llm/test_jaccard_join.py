@@ -120,3 +120,44 @@ def test_helper_names_of_the_table(documents):
     docs = documents((5, text), (3, text + " end"), (9, "else")).selectExpr("*", "'a' AS __id", "'b' AS __VERSION")
     rows = jj.representatives(docs, 5, 80).collect()
     assert sorted((r.doc_id, r["__id"], r["__VERSION"]) for r in rows) == [(3, "a", "b"), (9, "a", "b")]
+
+
+def test_blocks_give_all_parts_in_order(monkeypatch):
+    """Blocks of several tasks, too many to sort at once, one part of very many sets: nothing is lost, parts come in order."""
+    monkeypatch.setattr(jj, "BLOCK_PARTS", 50)
+    monkeypatch.setattr(jj.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 7})()))
+    rng = np.random.default_rng(5)
+    blocks, want, rows = jj._Blocks(), [], []
+    for k in range(300):
+        parts = np.unique(np.append(rng.integers(0, 1 << 63, 4), 12345 << 30).astype(np.uint64))
+        if blocks.full():
+            rows.append(blocks.rows())
+        number = blocks.add(parts)
+        want += [(int(p) >> 20, number) for p in parts]
+    rows.append(blocks.rows())
+    assert len(rows) > 20 and len({n for _, n in want}) == 300 and all(n >> 40 == 7 for _, n in want)
+    table = pa.concat_tables([pa.table(r) for r in rows]).sort_by("route")
+    assert all(len(b) % 6 == 0 for b in table.column("block").to_pylist())
+    got = [(r["part"], r["name"]) for b in jj._unpacked(iter(table.to_batches(max_chunksize=9))) for r in b.to_pylist()]
+    assert sorted(got) == sorted(want)
+    assert [p for p, _ in got] == sorted(p for p, _ in want)
+
+
+def test_texts_are_not_shuffled(spark, documents, monkeypatch):
+    """Of texts without a copy, neither the join nor the choice of representatives writes any to a shuffle."""
+    seen = []
+    monkeypatch.setattr(jj, "written", lambda df, label, keep=jj.written: seen.append((label, df)) or keep(df, label))
+    rng = random.Random(8)
+    alone = [(k, " ".join(f"w{rng.random()}" for _ in range(40))) for k in range(300)]
+    docs = documents(*alone, (900, alone[0][1]), (901, alone[1][1] + " end"))
+    kept = jj.representatives(docs, 5, 80)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
+    texts = [label for label, df in seen if "text" in df.columns]
+    assert not texts
+    plan = dict(seen)["cluster-sets"]._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan[plan.index("Exchange") :]
+    known = jj.members(spark.createDataFrame([(1, 5), (2, 6)], "id long, version long"), ["id", "version"])
+    rows = spark.createDataFrame([(k, k + 4) for k in range(20_000)], "id long, version long").coalesce(1)
+    found = rows.mapInArrow(jj._found(known), rows.schema).collect()
+    assert {(1, 5), (2, 6)} <= {tuple(r) for r in found} and len(found) < 200
+    assert rows.mapInArrow(jj._found(known, False), rows.schema).count() == 20_000 - len(found)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chartloom.columns import row_type
 from chartloom.operators.recent import RecentRows
 from chartloom.operators.relational import restrict_to
-from chartloom.session import work_dir
+from chartloom.session import work_dir, written
 from chartloom.sources.bulk import bulk_files, read_bulk_files, stream_bulk_files, write_bulk_files
 from chartloom.sources.documents import database_exists, read_documents, read_manifest, write_documents
 from chartloom.sources.keyed import KeyedTable
@@ -242,6 +242,16 @@ def test_work_folder_is_the_shared_one(spark):
     assert a != b and a.startswith(f"{root}/x-")
 
 
+def test_a_written_frame_leaves_no_shuffle_files(spark):
+    """Shuffle files of a written frame go at once, and the setting of the running session is as before."""
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    held = lambda: tracker.shuffleStatuses().size()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df, setting, before = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), spark.conf.get(key), held()
+    assert sorted(r["count"] for r in written(df, "counts").collect()) == [142, 143, 143, 143, 143, 143, 143]
+    assert held() <= before and spark.conf.get(key) == setting
+
+
 def test_balanced_ranges(spark, rows):
     df = spark.range(1000).selectExpr("CASE WHEN id % 10 <> 0 THEN id * id END AS v")
     ranges = balanced_ranges(df, "v", 5)

@@ -66,3 +66,12 @@ def test_stages_against_brute_force(spark, tmp_path):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 50
     assert language_id.fit(spark.read.parquet(f"{SF}/documents.parquet"), F.lit(True)) is not None
+
+
+def test_run_leaves_one_table(spark):
+    """Tables of earlier stages, and what stages write on their way, do not pile up."""
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(root.iterdir()) if root.exists() else set()
+    out = corpus_pipeline.run(spark, SF)
+    assert [p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - before] == ["pipeline-decontamination"]
+    assert out.count() > 50

@@ -9,9 +9,11 @@ from pyspark.sql import types as T
 from chartloom import schemas
 from chartloom.functions.json import parse_doc_json, to_doc_json
 from chartloom.functions.text import display
+from chartloom.operators.nesting import DEALT
 from chartloom.operators.relational import rename_map, restrict_to
 from chartloom.operators.sync import PART_MARK
 from chartloom.operators.windows import latest_n
+from chartloom.session import written
 
 # Columns kept as JSON text in staging, with their types.
 JSON_COLUMNS = {
@@ -67,6 +69,11 @@ def recent(df: DataFrame, time: str, n: int = RECENT) -> DataFrame:
     """The latest documents of every person, with all their parts."""
     if "part" not in df.columns:
         return latest_n(df, "person_id", time, n, tiebreak="encounter_id")
+    if "encounter_id" in df.columns and df.schema["encounter_id"].metadata == DEALT:
+        # Documents stay where they are: their keys are ranked, if each is that of one document.
+        keys = written(df.where("part = 0").select("person_id", "encounter_id", time), "document-keys")
+        if keys.groupBy("encounter_id").count().where("encounter_id IS NULL OR count > 1").isEmpty():
+            return df.join(latest_n(keys, "person_id", time, n, tiebreak="encounter_id").select("encounter_id"), "encounter_id", "left_semi")
     mains = latest_n(df.where("part = 0"), "person_id", time, n, tiebreak="encounter_id")
     return mains.unionByName(restrict_to(df.where("part > 0"), mains, "doc_id"))
 

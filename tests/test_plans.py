@@ -274,3 +274,26 @@ def test_members_of_large_groups_meet_their_roots(clinic, monkeypatch, key_bytes
     monkeypatch.setattr(observations, "KEY_BYTES", key_bytes)
     large = obs_of(clinic, by="encounter_id").select(*few[0].asDict())
     assert sorted(large.collect(), key=lambda r: r.obs_id) == few
+
+
+def test_sides_of_large_dictionaries_are_written_as_they_are_dealt(clinic, spark, monkeypatch):
+    """With large dictionaries all sides of the documents are read as they were dealt, and the latest documents of each person are found by their keys."""
+    from chartloom.operators.relational import Dimension
+    from chartloom.plans import encounters, observations
+
+    text = lambda docs: sorted(map(str, docs.collect()))
+    made = lambda: encounter_documents(clinic, obs_of(clinic, by="encounter_id"), F.lit("now"), 1)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    usual = text(made())
+    for module in (encounters, observations):
+        monkeypatch.setattr(module, "measured", lambda df: Dimension(df, False))
+    docs = made()
+    assert len({word for word in plan(docs).split() if "chartloom_" in word}) == 4
+    assert "RepartitionByExpression [encounter_id" not in plan(docs)
+    assert text(docs) == usual
+    latest = to_target("encounter", as_json_columns("encounter", docs))
+    assert "LeftSemi" in plan(latest) and latest.count() == len(usual)
+    # Documents that share a key are told apart by the rows themselves.
+    twice = to_target("encounter", as_json_columns("encounter", docs.unionByName(docs)))
+    assert "row_number" in plan(twice)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("chartloom")]

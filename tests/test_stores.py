@@ -252,6 +252,16 @@ def test_a_written_frame_leaves_no_shuffle_files(spark):
     assert held() <= before and spark.conf.get(key) == setting
 
 
+def test_an_append_leaves_no_shuffle_files(spark, rows, tmp_path):
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    table = KeyedTable(spark, f"{tmp_path}/freed", "k", bucket_by="p")
+    df = rows("k int, p int", *[(i, i % 3) for i in range(30)]).groupBy("k").agg(F.max("p").alias("p"))
+    before = tracker.shuffleStatuses().size()
+    table.upsert(df)
+    assert tracker.shuffleStatuses().size() <= before
+    assert sorted((r.k, r.p) for r in table.read().collect()) == [(i, i % 3) for i in range(30)]
+
+
 def test_balanced_ranges(spark, rows):
     df = spark.range(1000).selectExpr("CASE WHEN id % 10 <> 0 THEN id * id END AS v")
     ranges = balanced_ranges(df, "v", 5)
